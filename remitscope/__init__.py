@@ -1 +1,8 @@
 """Payment-event analytics on Spark DataFrames, in batch and in Structured Streaming."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run in Python workers travel with the job, so executors need no install.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
