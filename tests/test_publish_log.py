@@ -1,0 +1,116 @@
+"""Outcomes, counters and streaks against plain loops."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+
+from remitscope import schema as S
+from remitscope.operators import publish_log as P
+
+START = datetime(2026, 1, 1)
+
+
+def log(spark, rows):
+    """Rows of (event, attempt, sink, second, outcome, ms)."""
+    full = [(e, a, k, START + timedelta(seconds=s), o, ms) for e, a, k, s, o, ms in rows]
+    return spark.createDataFrame(full, S.PUBLISH_ATTEMPT)
+
+
+def outcomes(df):
+    rows = P.publish_outcomes(df).collect()
+    return {r["event_id"]: (r["attempts"], r["published"], r["exhausted"]) for r in rows}
+
+
+def test_outcomes(spark):
+    rows = [
+        # published at the third attempt
+        (1, 1, "s", 0, "FAILED", 5),
+        (1, 2, "s", 1, "FAILED", 5),
+        (1, 3, "s", 2, "PUBLISHED", 5),
+        # all four attempts used up
+        (2, 1, "s", 0, "FAILED", 5),
+        (2, 2, "s", 1, "TIMED_OUT", 5001),
+        (2, 3, "s", 2, "FAILED", 5),
+        (2, 4, "s", 3, "FAILED", 5),
+        # answered, but past the budget, then at the budget
+        (3, 1, "s", 0, "PUBLISHED", 5001),
+        (4, 1, "s", 0, "PUBLISHED", 5000),
+    ]
+    df = log(spark, rows)
+    assert outcomes(df) == {
+        1: (3, True, False),
+        2: (4, False, True),
+        3: (1, False, False),
+        4: (1, True, False),
+    }
+    assert P.published_count(P.publish_outcomes(df)).first()["n"] == 2
+    counted = P.event_counters(df, df).first()
+    assert tuple(counted) == (9, 3, 5)
+    slow = P.slow_publishes(df).collect()
+    assert {(r["event_id"], r["attempt"]) for r in slow} == {(2, 2), (3, 1)}
+
+
+def test_counters_of_nothing(spark):
+    assert tuple(P.event_counters(log(spark, []), log(spark, [])).first()) == (0, 0, 0)
+
+
+def streaks_by_hand(rows):
+    found, run = [], None
+    for e, a, k, s, o, ms in sorted(rows, key=lambda r: (r[2], r[3], r[0], r[1])):
+        if run and run[0] != k:
+            found.append(run)
+            run = None
+        if o == "PUBLISHED" and ms <= 5000:
+            found += [run] if run else []
+            run = None
+        else:
+            run = (k, run[1], run[2] + 1) if run else (k, START + timedelta(seconds=s), 1)
+    return sorted(found + ([run] if run else []))
+
+
+def streaks(df, **options):
+    rows = P.failure_streaks(df, **options).collect()
+    return sorted((r["sink_key"], r["streak_start"], r["streak_len"]) for r in rows)
+
+
+def test_streaks_and_threshold(spark):
+    rows = [(i, 1, "s", i, "FAILED", 1) for i in range(2)]
+    rows += [(2, 1, "s", 2, "PUBLISHED", 1), (3, 1, "s", 3, "TIMED_OUT", 5001)]
+    found = P.failure_streaks(log(spark, rows), threshold=2).collect()
+    assert sorted((r["streak_len"], r["reached_threshold"]) for r in found) == [
+        (1, False),
+        (2, True),
+    ]
+
+
+@pytest.mark.parametrize("success_share", [0.5, 0.02, 0.9, 0.0, 1.0])
+@pytest.mark.parametrize("sinks", [1, 3, 200])
+def test_streaks_over_many_partitions(spark, success_share, sinks):
+    rng = random.Random(sinks)
+    rows = []
+    for e in range(1500):
+        # The first sink holds a third of all rows, and times repeat.
+        sink = 0 if rng.random() < 1 / 3 else rng.randrange(sinks)
+        outcome = "PUBLISHED" if rng.random() < success_share else "FAILED"
+        rows.append((e, 1, f"s{sink}", rng.randrange(300), outcome, rng.choice([1, 5000])))
+    assert streaks(log(spark, rows), partitions=16) == streaks_by_hand(rows)
+
+
+def test_streaks_over_many_arrow_batches(spark):
+    rng = random.Random(1)
+    rows = [
+        (e, 1, f"s{rng.randrange(2)}", e, rng.choice(["FAILED", "FAILED", "PUBLISHED"]), 1)
+        for e in range(500)
+    ]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        assert streaks(log(spark, rows), partitions=4) == streaks_by_hand(rows)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_no_attempts(spark):
+    assert streaks(log(spark, [])) == []
