@@ -8,22 +8,20 @@ _ACCEPTED = (
     rf"^([0-9a-fA-F]{{32}}|{_HYPHENATED}|\{{{_HYPHENATED}\}}|urn:uuid:{_HYPHENATED})$"
 )
 
+_ANY_SPELLING = r"^.*?([0-9a-f]{8})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{12})}?$"
+
 
 def is_uuid(text: Column) -> Column:
     """Plain, hyphenated, braced and URN spellings, in either case."""
     return text.rlike(_ACCEPTED)
 
 
-def _hex_digits(text: Column) -> Column:
-    bare = F.replace(text, F.lit("urn:uuid:"), F.lit(""))
-    return F.translate(F.lower(bare), "{}-", "")
-
-
 def canonical_uuid(text: Column) -> Column:
     """Lower case, hyphenated. The input must satisfy :func:`is_uuid`."""
-    digits = _hex_digits(text)
-    groups = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(digits, at, size) for at, size in groups])
+    low = F.lower(text)
+    return F.when(F.length(text) == 36, low).otherwise(
+        F.regexp_replace(low, _ANY_SPELLING, F.lit("$1-$2-$3-$4-$5"))
+    )
 
 
 def uuid_bytes(canonical: Column) -> Column:

@@ -3,9 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_RFC3339 = (
-    r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
-)
+RFC3339 = r"\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:[Zz]|[+-]\d{2}:\d{2})"
 
 
 def parse_rfc3339(text: Column) -> Column:
@@ -14,7 +12,7 @@ def parse_rfc3339(text: Column) -> Column:
     A plain cast would also take a bare year or a time without an offset. Digits past the sixth
     are dropped, since timestamps hold microseconds.
     """
-    return F.when(text.rlike(_RFC3339), F.upper(text).try_cast("timestamp"))
+    return F.when(text.rlike(f"^{RFC3339}$"), F.upper(text).try_cast("timestamp"))
 
 
 def int_div(dividend: Column, divisor: Column | int) -> Column:
