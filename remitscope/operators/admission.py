@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitscope.functions.times import epoch_micros
-from remitscope.storage import checkpointed
+from remitscope.storage import written
 
 
 @dataclass(frozen=True)
@@ -135,12 +135,14 @@ def _apply(pieces: Iterable, credit: int) -> int:
     raise ValueError(f"credit {credit} is outside the bucket")
 
 
-# A decision, an open row (admitted is NULL) or, with pieces, the summary of a stretch.
+# Kinds of rows that the first fold gives: a decision, a row that stays open, and the summary of a
+# stretch (``us`` is its last time), which holds its credit map.
+_DECIDED, _OPEN, _SUMMARY = "decided", "open", "summary"
 _FOLDED = (
-    "key string, us bigint, id bigint, admitted boolean, block int, first_us bigint, "
-    "pieces array<array<bigint>>"
+    "kind string, key string, us bigint, id bigint, admitted boolean, block int, "
+    "first_us bigint, pieces array<array<bigint>>"
 )
-_FOLDED_COLUMNS = ["key", "us", "id", "admitted", "block", "first_us", "pieces"]
+_FOLDED_COLUMNS = ["kind", "key", "us", "id", "admitted", "block", "first_us", "pieces"]
 
 
 class _PartitionFold:
@@ -161,7 +163,7 @@ class _PartitionFold:
         else:
             pieces = [(0, self.bucket.full, self.state.credit, 0)]
         self.summaries.append(
-            (self.key, self.state.last_us, None, None, self.block, self.first_us, pieces)
+            (_SUMMARY, self.key, self.state.last_us, None, None, self.block, self.first_us, pieces)
         )
 
     def _begin(self, key, us: int) -> None:
@@ -187,14 +189,16 @@ class _PartitionFold:
         return len(times)
 
     def rows(self, batch: pd.DataFrame) -> pd.DataFrame:
-        admitted = []
+        admitted, kinds = [], []
         for key, group in batch.groupby("key", sort=False):
             times = group["us"].tolist()
             if key != self.key:
                 self._begin(key, times[0])
             n_open = self._open_rows(times) if self.unknown is not None else 0
             admitted += [None] * n_open + self.state.admit(self.bucket, times[n_open:])
+            kinds += [_OPEN] * n_open + [_DECIDED] * (len(times) - n_open)
         return batch.assign(
+            kind=kinds,
             admitted=pd.array(admitted, dtype="boolean"),
             block=self.block,
             first_us=None,
@@ -243,7 +247,7 @@ def _fold_open(bucket: TokenBucket):
             rows["admitted"] = state.admit(bucket, rows["us"].tolist())
         else:
             rows["admitted"] = pd.Series(dtype="bool")
-        return rows[["key", "us", "id", "admitted"]]
+        return rows[["key", "id", "admitted"]]
 
     return fold
 
@@ -263,8 +267,8 @@ def token_bucket_admission(
 ) -> DataFrame:
     """(event_id, key, admitted) for every event, in order of (ts, event_id) within its key.
 
-    The first fold is written to the checkpoint folder: its partition boundaries come from a
-    sample, and the three steps that follow must see the same ones.
+    The first fold is written to the shared folder: its partition boundaries come from a sample,
+    and the three steps that follow must see the same ones.
     """
     order = ["key", "us", "id"]
     count = [partitions] if partitions else []
@@ -277,24 +281,26 @@ def token_bucket_admission(
         .repartitionByRange(*count, *order)
         .sortWithinPartitions(*order)
     )
-    folded = checkpointed(ordered.mapInPandas(_fold_partitions(bucket), _FOLDED))
+    folded = written(ordered.mapInPandas(_fold_partitions(bucket), _FOLDED), "admission")
 
-    is_row = F.col("pieces").isNull()
+    kind = F.col("kind")
     starts = (
-        folded.where(~is_row)
+        folded.where(kind == _SUMMARY)
+        .select("key", "block", "first_us", "us", "pieces")
         .groupBy("key")
         .applyInPandas(_chain(bucket), "key string, block int, first_us bigint, credit bigint")
     )
     reopened = (
-        folded.where(is_row & F.col("admitted").isNull())
+        folded.where(kind == _OPEN)
+        .select("key", "block", "us", "id")
         .groupBy("key", "block")
         .cogroup(starts.groupBy("key", "block"))
-        .applyInPandas(_fold_open(bucket), "key string, us bigint, id bigint, admitted boolean")
+        .applyInPandas(_fold_open(bucket), "key string, id bigint, admitted boolean")
     )
     key_type = events.schema[key].dataType
     return (
-        folded.where(F.col("admitted").isNotNull())
-        .select("key", "us", "id", "admitted")
+        folded.where(kind == _DECIDED)
+        .select("key", "id", "admitted")
         .unionByName(reopened)
         .select(
             F.col("id").alias(event_id),

@@ -39,7 +39,7 @@ def roll_up(partials: DataFrame) -> DataFrame:
     has no row; one whose settled events sum to 0 has one. Only currency rows carry a settled
     total, as amounts of different currencies do not add up.
     """
-    nothing = partials.sparkSession.range(1).select(
+    nothing = partials.sparkSession.range(0, 1, 1, 1).select(
         *[F.lit(None).cast("string").alias(name) for name in _KEYS],
         F.lit(0).cast("bigint").alias("n"),
         F.lit(None).cast("bigint").alias("settled_minor_units"),

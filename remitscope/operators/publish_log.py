@@ -40,13 +40,19 @@ def event_counters(events: DataFrame, log: DataFrame) -> DataFrame:
 
     Failures count per attempt, and only those that the sink reported: a timeout is not one.
     """
-    consumed = events.agg(F.count("*").alias("consumed"))
+    nothing = F.lit(0).cast("bigint")
+    consumed = events.agg(
+        F.count("*").alias("consumed"),
+        nothing.alias("published"),
+        nothing.alias("publish_failed"),
+    )
     attempts = log.agg(
+        nothing.alias("consumed"),
         F.count_if(F.col("outcome") == S.PUBLISHED).alias("published"),
         F.count_if(F.col("outcome") == S.FAILED).alias("publish_failed"),
     )
-    # Two global aggregates, so one row meets one row.
-    return consumed.join(attempts, on=F.lit(True))
+    names = consumed.columns
+    return consumed.unionByName(attempts).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def slow_publishes(log: DataFrame, budget_ms: int = PUBLISH_BUDGET_MS) -> DataFrame:
@@ -128,11 +134,12 @@ def failure_streaks(
         .withColumn("apart", F.when(~F.col("at_edge"), F.col("event_id")))
     )
     in_order = Window.partitionBy("sink_key", "apart").orderBy("ts_us", "event_id", "attempt")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joins = F.col("continues") & ~F.lag("ends", 1, True).over(in_order)
     failing = F.col("streak_len") > 0
     return (
         segments.withColumn("begins", (~joins).cast("int"))
-        .withColumn("streak", F.sum("begins").over(in_order))
+        .withColumn("streak", F.sum("begins").over(so_far))
         .groupBy("sink_key", "apart", "streak")
         .agg(
             F.min(F.when(failing, F.col("ts_us"))).alias("start_us"),

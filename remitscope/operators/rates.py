@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from remitscope.functions.times import epoch_micros, from_epoch_micros, int_div
 
 _US = 1_000_000
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 DAY_SECONDS = 86_400
 
 # Fixed values of the alerts: window, evaluation interval, threshold per second, hold time.
@@ -80,32 +81,26 @@ def consecutive_runs(numbers: DataFrame, number: str, block: int) -> DataFrame:
     """Maximal runs of consecutive integers as (first, last, n). The integers must be distinct.
 
     Runs are found within blocks of the number line, in parallel. Those that touch the edge of
-    their block, two per block at most, are then joined up; only they meet in one task.
+    their block, two per block at most, are then joined up in one group; each other run only
+    passes through that step as a group of its own.
     """
-    value = F.col(number)
+    value, first, last = F.col(number), F.col("first"), F.col("last")
     in_block = Window.partitionBy("block").orderBy(number)
-    local = (
+    at_edge = (_floor_div(first, block) * block == first) | (
+        _floor_div(last + 1, block) * block == last + 1
+    )
+    joined = Window.partitionBy("apart").orderBy("first")
+    return (
         numbers.select(number, _floor_div(value, block).alias("block"))
         .withColumn("run", value - F.row_number().over(in_block))
         .groupBy("block", "run")
         .agg(F.min(number).alias("first"), F.max(number).alias("last"), F.count("*").alias("n"))
-        .withColumn(
-            "at_edge",
-            (F.col("first") == F.col("block") * block)
-            | (F.col("last") == (F.col("block") + 1) * block - 1),
-        )
-    )
-    edges = Window.partitionBy(F.lit(0)).orderBy("first")
-    begins = F.coalesce(F.lag("last").over(edges) + 1 != F.col("first"), F.lit(True))
-    joined = (
-        local.where("at_edge")
-        .withColumn("begins", begins.cast("int"))
-        .withColumn("chain", F.sum("begins").over(edges))
-        .groupBy("chain")
+        .select("first", "last", "n", F.when(~at_edge, first).alias("apart"))
+        .withColumn("begins", F.coalesce(first != F.lag(last + 1).over(joined), F.lit(True)))
+        .withColumn("chain", F.count_if("begins").over(joined.rowsBetween(*_SO_FAR)))
+        .groupBy("apart", "chain")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
-    )
-    return local.where(~F.col("at_edge")).select("first", "last", "n").unionByName(
-        joined.select("first", "last", "n")
+        .select("first", "last", "n")
     )
 
 
@@ -143,28 +138,24 @@ def stalled_intervals(
     """Gaps of at least ``silence_seconds`` between consecutive events.
 
     Two events that far apart never share a bin of that length, so the first and last event of
-    each bin are enough. Bins meet their successor within a day, and the last bin of each day
-    meets the first of the next; the only step in one task sees two rows per day.
+    each bin are enough. Bins meet their successor within a day. The last bin of each day meets
+    the first event of the next one; these, one row per day, are the only ones in a common group.
     """
     silence_us = silence_seconds * _US
     day_us = max(DAY_SECONDS * _US, silence_us)
-    bins = (
+    in_day = Window.partitionBy("day").orderBy("bin")
+    over_days = Window.partitionBy("apart").orderBy("day")
+    following = F.coalesce(F.col("next_in_day"), F.lead("first_of_day").over(over_days))
+    gap_us = F.col("next") - F.col("last")
+    return (
         rows.select(epoch_micros(F.col(ts)).alias("us"))
         .groupBy(_floor_div(F.col("us"), silence_us).alias("bin"))
         .agg(F.min("us").alias("first"), F.max("us").alias("last"))
         .withColumn("day", _floor_div(F.col("first"), day_us))
-    )
-    in_day = Window.partitionBy("day").orderBy("bin")
-    within = bins.select("last", F.lead("first").over(in_day).alias("next"))
-    over_days = Window.partitionBy(F.lit(0)).orderBy("day")
-    across = (
-        bins.groupBy("day")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        .select("last", F.lead("first").over(over_days).alias("next"))
-    )
-    gap_us = F.col("next") - F.col("last")
-    return (
-        within.unionByName(across)
+        .withColumn("next_in_day", F.lead("first").over(in_day))
+        .withColumn("first_of_day", F.first("first").over(in_day.rowsBetween(*_SO_FAR)))
+        .withColumn("apart", F.when(F.col("next_in_day").isNotNull(), F.col("bin")))
+        .select("last", following.alias("next"))
         .where(gap_us >= silence_us)
         .select(
             from_epoch_micros(F.col("last")).alias("last_ts"),

@@ -1,6 +1,7 @@
 """Where intermediate results that cut lineage are kept."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,9 +16,11 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="remitscope-")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared folder, so that they survive the loss of executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes the rows as a table in the shared folder and reads them from there.
+
+    They survive the loss of executors, and a reader of some rows or columns reads only those.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
