@@ -19,7 +19,9 @@ decision by rounding.
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -36,21 +38,21 @@ class TokenBucket:
     capacity: int
     refill_per_sec: float
 
-    @property
+    @cached_property
     def _rate(self) -> Fraction:
         return Fraction(self.refill_per_sec).limit_denominator(1_000_000)
 
-    @property
+    @cached_property
     def gain(self) -> int:
         """Credit per elapsed microsecond."""
         return self._rate.numerator
 
-    @property
+    @cached_property
     def token(self) -> int:
         """Credit that one event takes."""
         return 1_000_000 * self._rate.denominator
 
-    @property
+    @cached_property
     def full(self) -> int:
         return self.capacity * self.token
 
@@ -88,7 +90,7 @@ class CreditMap:
     """
 
     def __init__(self, bucket: TokenBucket):
-        self.bucket = bucket
+        self.gain, self.token, self.full = bucket.gain, bucket.token, bucket.full
         self.pieces = [(0, bucket.full, 0, 1)]
 
     def _split_at(self, level: int) -> Iterator[tuple[int, int, int, int]]:
@@ -111,7 +113,7 @@ class CreditMap:
         self.pieces = merged
 
     def event(self, elapsed_us: int) -> None:
-        gained, token, full = elapsed_us * self.bucket.gain, self.bucket.token, self.bucket.full
+        gained, token, full = elapsed_us * self.gain, self.token, self.full
         self.pieces = [(low, high, at + gained, slope) for low, high, at, slope in self.pieces]
         self.pieces = [
             (low, high, full, 0) if at >= full else (low, high, at, slope)
@@ -136,13 +138,12 @@ def _apply(pieces: Iterable, credit: int) -> int:
 
 
 # Kinds of rows that the first fold gives: a decision, a row that stays open, and the summary of a
-# stretch (``us`` is its last time), which holds its credit map.
-_DECIDED, _OPEN, _SUMMARY = "decided", "open", "summary"
+# stretch: its first and last time and its credit map, as packed integers.
+_DECIDED, _OPEN, _SUMMARY = 0, 1, 2
 _FOLDED = (
-    "kind string, key string, us bigint, id bigint, admitted boolean, block int, "
-    "first_us bigint, pieces array<array<bigint>>"
+    "kind tinyint, key string, us bigint, id bigint, admitted boolean, block int, "
+    "first_us bigint, pieces binary"
 )
-_FOLDED_COLUMNS = ["kind", "key", "us", "id", "admitted", "block", "first_us", "pieces"]
 
 
 class _PartitionFold:
@@ -156,14 +157,20 @@ class _PartitionFold:
 
     def _summarise(self) -> None:
         """Notes how the stretch of the current key ends."""
-        if self.key is None:
-            return
         if self.unknown is not None:
             pieces = self.unknown.pieces
         else:
             pieces = [(0, self.bucket.full, self.state.credit, 0)]
         self.summaries.append(
-            (_SUMMARY, self.key, self.state.last_us, None, None, self.block, self.first_us, pieces)
+            {
+                "kind": _SUMMARY,
+                "key": self.key,
+                "us": self.state.last_us,
+                "id": 0,
+                "admitted": False,
+                "first_us": self.first_us,
+                "pieces": np.array(pieces, dtype="int64").tobytes(),
+            }
         )
 
     def _begin(self, key, us: int) -> None:
@@ -195,19 +202,15 @@ class _PartitionFold:
             if key != self.key:
                 self._begin(key, times[0])
             n_open = self._open_rows(times) if self.unknown is not None else 0
-            admitted += [None] * n_open + self.state.admit(self.bucket, times[n_open:])
+            admitted += [False] * n_open + self.state.admit(self.bucket, times[n_open:])
             kinds += [_OPEN] * n_open + [_DECIDED] * (len(times) - n_open)
         return batch.assign(
-            kind=kinds,
-            admitted=pd.array(admitted, dtype="boolean"),
-            block=self.block,
-            first_us=None,
-            pieces=None,
-        )[_FOLDED_COLUMNS]
+            kind=kinds, admitted=admitted, block=self.block, first_us=0, pieces=None
+        )
 
     def ends(self) -> pd.DataFrame:
         self._summarise()
-        return pd.DataFrame(self.summaries, columns=_FOLDED_COLUMNS)
+        return pd.DataFrame(self.summaries).assign(block=self.block)
 
 
 def _fold_partitions(bucket: TokenBucket):
@@ -216,7 +219,8 @@ def _fold_partitions(bucket: TokenBucket):
         for batch in batches:
             if len(batch):
                 yield partition.rows(batch)
-        yield partition.ends()
+        if partition.key is not None:
+            yield partition.ends()
 
     return fold
 
@@ -232,7 +236,7 @@ def _chain(bucket: TokenBucket):
             if state is not None:
                 credit = min(credit, state.credit + (int(now) - state.last_us) * bucket.gain)
             credits.append(credit)
-            pieces = [[int(v) for v in piece] for piece in pieces]
+            pieces = np.frombuffer(pieces, dtype="int64").reshape(-1, 4).tolist()
             state = BucketState(int(end), _apply(pieces, credit))
         return stretches.assign(credit=credits)[["key", "block", "first_us", "credit"]]
 
