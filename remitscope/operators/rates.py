@@ -46,21 +46,10 @@ def event_rate(rows: DataFrame, seconds: int = 60, ts: str = "ts") -> DataFrame:
     )
 
 
-def _sliding_counts(rows: DataFrame, seconds: int, step: int, ts: str) -> DataFrame:
-    """(tick, n): rows in the window of the given length that ends at ``tick * step``.
-
-    Bins of one step are counted first; only their few rows are then copied into the windows that
-    hold them. ``seconds`` must be a multiple of ``step``.
-    """
+def _ticks(seconds: int, step: int) -> int:
     if seconds % step:
         raise ValueError(f"window of {seconds} s is not a multiple of the step of {step} s")
-    ticks = F.sequence(F.col("bin") + 1, F.col("bin") + F.lit(seconds // step))
-    return (
-        binned_counts(rows, step, ts)
-        .select(F.explode(ticks).alias("tick"), "n")
-        .groupBy("tick")
-        .agg(F.sum("n").alias("n"))
-    )
+    return seconds // step
 
 
 def sliding_rate(
@@ -69,41 +58,98 @@ def sliding_rate(
     step: int = EVALUATION_SECONDS,
     ts: str = "ts",
 ) -> DataFrame:
-    """Rate of the window before each evaluation instant."""
-    return _sliding_counts(rows, seconds, step, ts).select(
-        from_epoch_micros((F.col("tick") * step - seconds) * _US).alias("window_start"),
-        "n",
-        (F.col("n") / F.lit(float(seconds))).alias("per_second"),
+    """Rate of the window before each evaluation instant; windows without rows are absent.
+
+    Bins of one step are counted first; only their few rows are copied into the windows around.
+    """
+    ticks = F.sequence(F.col("bin") + 1, F.col("bin") + F.lit(_ticks(seconds, step)))
+    return (
+        binned_counts(rows, step, ts)
+        .select(F.explode(ticks).alias("tick"), "n")
+        .groupBy("tick")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            from_epoch_micros((F.col("tick") * step - seconds) * _US).alias("window_start"),
+            "n",
+            (F.col("n") / F.lit(float(seconds))).alias("per_second"),
+        )
     )
 
 
-def consecutive_runs(numbers: DataFrame, number: str, block: int) -> DataFrame:
-    """Maximal runs of consecutive integers as (first, last, n). The integers must be distinct.
+def sliding_levels(
+    rows: DataFrame, seconds: int, step: int, block: int, ts: str = "ts"
+) -> DataFrame:
+    """Sliding counts as stretches (first, last, n): the windows that end at the ticks from first
+    to last hold n rows each. A tick is a multiple of the step.
 
-    Runs are found within blocks of the number line, in parallel. Those that touch the edge of
-    their block, two per block at most, are then joined up in one group; each other run only
-    passes through that step as a group of its own.
+    A bin enters the window at one tick and leaves it at another, so two or three changes per bin
+    stand for all the windows that hold it. The counts are running sums of the changes. They start
+    anew in each block of ticks, where the bins still in the window enter once more; a block must
+    not be shorter than the window.
     """
-    value, first, last = F.col(number), F.col("first"), F.col("last")
-    in_block = Window.partitionBy("block").orderBy(number)
-    at_edge = (_floor_div(first, block) * block == first) | (
-        _floor_div(last + 1, block) * block == last + 1
+    enters = F.col("bin") + 1
+    leaves = enters + F.lit(_ticks(seconds, step))
+    next_block = _floor_div(leaves, block) * block
+
+    def change(tick, n):
+        return F.struct(tick.alias("tick"), n.alias("n"))
+
+    changes = F.array(
+        change(enters, F.col("n")),
+        change(leaves, -F.col("n")),
+        change(next_block, F.when(enters < next_block, F.col("n")).otherwise(0)),
     )
-    joined = Window.partitionBy("apart").orderBy("first")
+    in_block = Window.partitionBy("block").orderBy("first")
+    block_end = (F.col("block") + 1) * block
     return (
-        numbers.select(number, _floor_div(value, block).alias("block"))
-        .withColumn("run", value - F.row_number().over(in_block))
-        .groupBy("block", "run")
-        .agg(F.min(number).alias("first"), F.max(number).alias("last"), F.count("*").alias("n"))
-        .select("first", "last", "n", F.when(~at_edge, first).alias("apart"))
-        .withColumn("begins", F.coalesce(first != F.lag(last + 1).over(joined), F.lit(True)))
-        .withColumn("chain", F.count_if("begins").over(joined.rowsBetween(*_SO_FAR)))
-        .groupBy("apart", "chain")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+        binned_counts(rows, step, ts)
+        .select(F.inline(changes))
+        .groupBy(F.col("tick").alias("first"))
+        .agg(F.sum("n").alias("n"))
+        .withColumn("block", _floor_div(F.col("first"), block))
+        .withColumn("n", F.sum("n").over(in_block.rowsBetween(*_SO_FAR)))
+        .withColumn("last", F.coalesce(F.lead("first").over(in_block), block_end) - 1)
         .select("first", "last", "n")
     )
 
 
+def _join_touching(stretches: DataFrame, group: str) -> DataFrame:
+    """Joins stretches (first, last, ticks) of a group that follow on from each other."""
+    in_order = Window.partitionBy(group).orderBy("first")
+    begins = F.coalesce(F.col("first") != F.lag(F.col("last") + 1).over(in_order), F.lit(True))
+    return (
+        stretches.withColumn("begins", begins)
+        .withColumn("chain", F.count_if("begins").over(in_order.rowsBetween(*_SO_FAR)))
+        .groupBy(group, "chain")
+        .agg(
+            F.min("first").alias("first"), F.max("last").alias("last"), F.sum("ticks").alias("ticks")
+        )
+        .select("first", "last", "ticks")
+    )
+
+
+def joined_runs(stretches: DataFrame, block: int) -> DataFrame:
+    """Maximal runs (first, last, ticks) of disjoint stretches (first, last), none of which crosses
+    from one block of ticks into another.
+
+    Runs are found within the blocks, in parallel. Those that touch the edge of their block, two
+    per block at most, are then joined up in one group; each other run only passes through that
+    step as a group of its own.
+    """
+    first, last = F.col("first"), F.col("last")
+    at_edge = (F.pmod(first, F.lit(block)) == 0) | (F.pmod(last + 1, F.lit(block)) == 0)
+    within = _join_touching(
+        stretches.select(
+            "first",
+            "last",
+            (last - first + 1).alias("ticks"),
+            _floor_div(first, block).alias("block"),
+        ),
+        "block",
+    )
+    return _join_touching(within.withColumn("apart", F.when(~at_edge, first)), "apart")
+
+
 def rate_alerts(
     rows: DataFrame,
     threshold: float = FAILURES_PER_SECOND,
@@ -119,14 +165,14 @@ def rate_alerts(
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    firing = _sliding_counts(rows, seconds, step, ts).where(
-        F.col("n") / F.lit(float(seconds)) > threshold
-    )
-    runs = consecutive_runs(firing, "tick", block=max(1, DAY_SECONDS // step))
+    block = max(DAY_SECONDS, seconds) // step
+    levels = sliding_levels(rows, seconds, step, block, ts)
+    firing = levels.where(F.col("n") / F.lit(float(seconds)) > threshold)
+    runs = joined_runs(firing, block)
     return runs.where((F.col("last") - F.col("first")) * step >= hold_seconds).select(
         from_epoch_micros(F.col("first") * step * _US).alias("start"),
         from_epoch_micros(F.col("last") * step * _US).alias("end"),
-        F.col("n").alias("evaluations"),
+        F.col("ticks").alias("evaluations"),
     )
 
 

@@ -51,9 +51,24 @@ def test_runs_of_integers(spark, block):
             expected[-1] = (expected[-1][0], n, expected[-1][2] + 1)
         else:
             expected.append((n, n, 1))
-    frame = spark.createDataFrame([(n,) for n in numbers], "tick bigint")
-    found = rates.consecutive_runs(frame, "tick", block).collect()
-    assert sorted((r["first"], r["last"], r["n"]) for r in found) == expected
+    frame = spark.createDataFrame([(n, n) for n in numbers], "first bigint, last bigint")
+    found = rates.joined_runs(frame, block).collect()
+    assert sorted((r["first"], r["last"], r["ticks"]) for r in found) == expected
+
+
+@pytest.mark.parametrize("block", [6, 7, 50, 8640])
+def test_levels_equal_the_sliding_counts(spark, block):
+    rng = random.Random(block)
+    frame = rows(spark, [rng.randrange(6_000) + rng.choice([0, 86_000]) for _ in range(300)])
+    expected = {
+        r["window_start"]: r["n"] for r in rates.sliding_rate(frame, seconds=60, step=10).collect()
+    }
+    found = {}
+    for r in rates.sliding_levels(frame, 60, 10, block).collect():
+        for tick in range(r["first"], r["last"] + 1):
+            if r["n"]:
+                found[EPOCH + timedelta(seconds=tick * 10 - 60)] = r["n"]
+    assert found == expected
 
 
 def test_alert_fires_only_when_held(spark):
