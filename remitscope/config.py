@@ -25,7 +25,7 @@ class RetryPolicy:
 
 @dataclass(frozen=True)
 class JobParams:
-    """Where a job reads and writes, and how large its micro-batches are.
+    """Where a job reads and writes, and how its micro-batches are sized and split.
 
     The defaults read one partition in small batches. :meth:`for_cluster` reads all partitions of
     the topic at once, in batches sized for many cores.
@@ -38,6 +38,7 @@ class JobParams:
     partition: int | None = 0
     start_offset: int = 0
     batch_size: int = 256
+    min_partitions: int = 32
     fetch_min_bytes: int = 1
     fetch_max_bytes: int = 10_000_000
     fetch_max_wait_ms: int = 500
@@ -60,8 +61,16 @@ class JobParams:
             found["partition"] = _int32(f"{ENV_PREFIX}PARTITION", partition)
         return cls(**found)
 
-    def for_cluster(self, batch_size: int = 10_000_000) -> "JobParams":
-        return replace(self, partition=None, batch_size=batch_size, fetch_max_bytes=52_428_800)
+    def for_cluster(
+        self, batch_size: int = 10_000_000, min_partitions: int = 1_000
+    ) -> "JobParams":
+        return replace(
+            self,
+            partition=None,
+            batch_size=batch_size,
+            min_partitions=min_partitions,
+            fetch_max_bytes=52_428_800,
+        )
 
     @property
     def trigger(self) -> dict[str, str]:

@@ -5,6 +5,8 @@ takes it. The decision on an event depends on all earlier ones of its key. To ke
 holds a third of all rows off a single task, the rows are range-partitioned on (key, time, id), and
 each partition is folded without knowing how full the bucket was where it begins:
 
+Copies of one event spread by their place in the input.
+
 1. Only the first key of a partition can reach back into an earlier one. For that key the fold
    carries the credit as a function of the unknown credit at the start (:class:`CreditMap`).
    Once the function has become constant, which any long enough pause brings about, decisions
@@ -281,8 +283,10 @@ def token_bucket_admission(
             _key_text(key).alias("key"),
             epoch_micros(F.col(ts)).alias("us"),
             F.col(event_id).cast("bigint").alias("id"),
+            F.monotonically_increasing_id().alias("place"),
         )
-        .repartitionByRange(*count, *order)
+        .repartitionByRange(*count, *order, "place")
+        .select(*order)
         .sortWithinPartitions(*order)
     )
     folded = written(ordered.mapInPandas(_fold_partitions(bucket), _FOLDED), "admission")

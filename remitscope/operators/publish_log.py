@@ -114,24 +114,27 @@ def failure_streaks(
     """Maximal runs of failed attempts per sink, in order of (ts, event_id, attempt).
 
     The log is range-partitioned on the sink *and* the order, so a sink that holds most of the
-    rows spreads over many tasks. Each task cuts its sorted stretch into segments in one pass over
-    Arrow batches. Of these, two per partition at most touch its edge and are joined up by sink;
-    the whole ones only pass through the same step, each as a group of its own.
+    rows spreads over many tasks, and copies of one attempt do by their place in the input. Each
+    task cuts its sorted stretch into segments in one pass over Arrow batches. Of these, two per
+    partition at most touch its edge and are joined up by sink; the whole ones only pass through
+    the same step, spread by a hash.
     """
-    order = ["sink_key", "ts_us", "event_id", "attempt"]
+    order = ["sink_key", "ts_us", "event_id", "attempt", "ok"]
     attempts = log.select(
         "sink_key",
         epoch_micros(F.col("ts")).alias("ts_us"),
         "event_id",
         "attempt",
         succeeded().alias("ok"),
+        F.monotonically_increasing_id().alias("place"),
     )
     count = [partitions] if partitions else []
     segments = (
-        attempts.repartitionByRange(*count, *order)
+        attempts.repartitionByRange(*count, *order, "place")
+        .select(*order)
         .sortWithinPartitions(*order)
         .mapInPandas(_local_segments, _SEGMENT)
-        .withColumn("apart", F.when(~F.col("at_edge"), F.col("event_id")))
+        .withColumn("apart", F.when(~F.col("at_edge"), F.xxhash64("ts_us", "event_id", "attempt")))
     )
     in_order = Window.partitionBy("sink_key", "apart").orderBy("ts_us", "event_id", "attempt")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -25,6 +25,7 @@ def kafka_source_options(params: JobParams) -> dict[str, str]:
         "kafka.bootstrap.servers": ",".join(params.brokers),
         **where,
         "maxOffsetsPerTrigger": str(params.batch_size),
+        "minPartitions": str(params.min_partitions),
         "kafka.fetch.min.bytes": str(params.fetch_min_bytes),
         "kafka.fetch.max.bytes": str(params.fetch_max_bytes),
         "kafka.fetch.max.wait.ms": str(params.fetch_max_wait_ms),

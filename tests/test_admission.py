@@ -114,6 +114,17 @@ def test_one_key_alone(spark):
     assert decisions(found) == by_hand(bucket, arrivals)
 
 
+def test_copies_of_one_event_spread_and_each_takes_a_token(spark):
+    bucket = TokenBucket(3, 1.0)
+    arrivals = [(1, us * 1_000_000, us) for us in range(60)] + [(1, 30_000_000, 30)] * 600
+    found = token_bucket_admission(frame(spark, arrivals), bucket, partitions=8).collect()
+    admitted = sorted(r["event_id"] for r in found if r["admitted"])
+    # A full bucket stands before second 30; its copies use it up, and each later event finds the
+    # one token of its second.
+    assert admitted == sorted([*range(30), 30, 30, 30, *range(31, 60)])
+    assert len(found) == len(arrivals)
+
+
 def test_text_keys_and_rows_without_key(spark):
     bucket = TokenBucket(1, 1.0)
     arrivals = arrivals_of(3, ["a", "", None, "=b"], 400, 200_000_000)

@@ -42,6 +42,7 @@ def test_source_options():
     assert json.loads(options["assign"]) == {"payments.events": [3]}
     assert json.loads(options["startingOffsets"]) == {"payments.events": {"3": 42}}
     assert options["maxOffsetsPerTrigger"] == "256"
+    assert options["minPartitions"] == "32"
     assert options["kafka.fetch.min.bytes"] == "1"
     assert options["kafka.fetch.max.bytes"] == "10000000"
     assert options["kafka.fetch.max.wait.ms"] == "500"

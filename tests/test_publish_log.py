@@ -112,5 +112,11 @@ def test_streaks_over_many_arrow_batches(spark):
         spark.conf.set(name, before)
 
 
+def test_copies_of_one_attempt(spark):
+    rows = [(e, 1, "s", e, "PUBLISHED" if e % 4 == 0 else "FAILED", 1) for e in range(40)]
+    rows += [(17, 1, "s", 17, "FAILED", 1)] * 500 + [(20, 1, "s", 20, "PUBLISHED", 1)] * 500
+    assert streaks(log(spark, rows), partitions=8) == streaks_by_hand(rows)
+
+
 def test_no_attempts(spark):
     assert streaks(log(spark, [])) == []
