@@ -10,6 +10,7 @@ from remitscope import schema as S
 from remitscope.operators import decode
 from remitscope.operators.encode import encode, event_json
 from remitscope.operators.enrich import enrich
+from remitscope.plans import inputs
 
 BASE = {
     "payment_id": "8f2c0000-0000-0000-0000-000000000001",
@@ -153,6 +154,22 @@ def test_encode_then_decode_gives_the_event_back(spark):
     assert decode.events_only(decode.decode(encoded)).collect() == events.collect()
 
 
+def test_both_paths_agree(spark):
+    """A blank after the first brace changes nothing but the path that a record takes."""
+    records = inputs.raw_records(spark, "/root/testdata/sf0.001").select("offset", "value")
+    blank = F.regexp_replace(F.col("value").cast("string"), r"^\{", "{ ").cast("binary")
+    spaced = records.withColumn("value", blank)
+    names = [*S.PAYMENT_EVENT.fieldNames(), "reject_reason"]
+    usual = decode.decode(records).where("reject_reason IS NULL").select("offset", *names)
+    parsed = decode.decode(spaced).where("reject_reason IS NULL").select("offset", *names)
+    assert usual.count() == 800
+    assert usual.exceptAll(parsed).count() == 0 and parsed.exceptAll(usual).count() == 0
+    reasons = [
+        decode.decode(frame).groupBy("reject_reason").count() for frame in (records, spaced)
+    ]
+    assert sorted(map(str, reasons[0].collect())) == sorted(map(str, reasons[1].collect()))
+
+
 def test_encoded_object_is_flat(spark):
     now = F.lit("2026-07-12T10:00:01.500000Z").cast("timestamp")
     events = decode.events_only(decode.decode(_records(spark, [TEXT.encode()])))
