@@ -20,6 +20,16 @@ def duck():
     return connection
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _sorted_rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
@@ -34,7 +44,8 @@ def test_query_equals_oracle(spark, duck, name):
     found = QUERIES[name](spark, str(SF_DIR))
     cursor = duck.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
-    assert sorted(found.columns) == sorted(columns)
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    assert {name: DUCK_TYPES[t] for name, t in found.dtypes} == types
     expected = _sorted_rows(columns, cursor.fetchall())
     assert expected, "a query without rows shows nothing"
     rows = _sorted_rows(found.columns, [tuple(r) for r in found.collect()])
