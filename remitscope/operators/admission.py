@@ -143,7 +143,7 @@ def _apply(pieces: Iterable, credit: int) -> int:
 # stretch: its first and last time and its credit map, as packed integers.
 _DECIDED, _OPEN, _SUMMARY = 0, 1, 2
 _FOLDED = (
-    "kind tinyint, key string, us bigint, id bigint, admitted boolean, block int, "
+    "kind tinyint, key string, us bigint, id {id_type}, admitted boolean, block int, "
     "first_us bigint, pieces binary"
 )
 
@@ -168,7 +168,7 @@ class _PartitionFold:
                 "kind": _SUMMARY,
                 "key": self.key,
                 "us": self.state.last_us,
-                "id": 0,
+                "id": None,
                 "admitted": False,
                 "first_us": self.first_us,
                 "pieces": np.array(pieces, dtype="int64").tobytes(),
@@ -276,20 +276,22 @@ def token_bucket_admission(
     The first fold is written to the shared folder: its partition boundaries come from a sample,
     and the three steps that follow must see the same ones.
     """
+    id_type = events.schema[event_id].dataType.simpleString()
     order = ["key", "us", "id"]
     count = [partitions] if partitions else []
     ordered = (
         events.select(
             _key_text(key).alias("key"),
             epoch_micros(F.col(ts)).alias("us"),
-            F.col(event_id).cast("bigint").alias("id"),
+            F.col(event_id).alias("id"),
             F.monotonically_increasing_id().alias("place"),
         )
         .repartitionByRange(*count, *order, "place")
         .select(*order)
         .sortWithinPartitions(*order)
     )
-    folded = written(ordered.mapInPandas(_fold_partitions(bucket), _FOLDED), "admission")
+    schema = _FOLDED.format(id_type=id_type)
+    folded = written(ordered.mapInPandas(_fold_partitions(bucket), schema), "admission")
 
     kind = F.col("kind")
     starts = (
@@ -303,7 +305,7 @@ def token_bucket_admission(
         .select("key", "block", "us", "id")
         .groupBy("key", "block")
         .cogroup(starts.groupBy("key", "block"))
-        .applyInPandas(_fold_open(bucket), "key string, id bigint, admitted boolean")
+        .applyInPandas(_fold_open(bucket), f"key string, id {id_type}, admitted boolean")
     )
     key_type = events.schema[key].dataType
     return (

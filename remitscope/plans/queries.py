@@ -72,14 +72,19 @@ def format_money(spark, sf_dir):
 
 
 def money_add(spark, sf_dir):
-    """Each amount plus that of the next event, where there is one."""
+    """Each amount plus that of the next event, where there is one.
+
+    Copies of the next event are combined first, so they do not multiply the rows.
+    """
     amounts = inputs.payments(spark, sf_dir).select("event_id", "amount")
-    following = amounts.select(
-        (F.col("event_id") - 1).alias("event_id"), F.col("amount").alias("next_amount")
+    following = amounts.groupBy((F.col("event_id") - 1).alias("event_id")).agg(
+        F.min("amount").alias("next_amount")
     )
     total = M.try_add(F.col("amount"), F.col("next_amount"))
-    return amounts.join(following, "event_id").select("event_id", total.alias("total")).select(
-        "event_id", "total.sum_minor", "total.mismatch"
+    return (
+        amounts.join(following, "event_id")
+        .select("event_id", total.alias("total"))
+        .select("event_id", "total.sum_minor", "total.mismatch")
     )
 
 

@@ -41,12 +41,11 @@ def token_bucket_admission(
     ``current_timestamp()`` does for a limit on the wall clock. A task holds the rows of one key in
     one micro-batch, which the source's batch size bounds.
     """
-    key_type = events.schema[key].dataType
     moment = F.col(ts) if now is None else now
     output = T.StructType(
         [
-            T.StructField("id", T.LongType()),
-            T.StructField("key", key_type),
+            T.StructField("id", events.schema[event_id].dataType),
+            T.StructField("key", events.schema[key].dataType),
             T.StructField("admitted", T.BooleanType()),
         ]
     )
@@ -54,7 +53,7 @@ def token_bucket_admission(
         events.select(
             F.col(key).alias("key"),
             epoch_micros(moment).alias("us"),
-            F.col(event_id).cast("bigint").alias("id"),
+            F.col(event_id).alias("id"),
         )
         .groupBy("key")
         .applyInPandasWithState(

@@ -134,5 +134,14 @@ def test_text_keys_and_rows_without_key(spark):
     assert {r["event_id"]: r["user_id"] for r in found.collect()} == keys
 
 
+def test_text_ids(spark):
+    bucket = TokenBucket(1, 1.0)
+    arrivals = [(k, us, f"event-{e:04}") for k, us, e in arrivals_of(5, [1, 2], 300, 200_000_000)]
+    rows = [(e, START + timedelta(microseconds=us), k) for k, us, e in arrivals]
+    events = spark.createDataFrame(rows, "event_id string, ts timestamp, user_id bigint")
+    found = token_bucket_admission(events, bucket, partitions=6)
+    assert decisions(found) == by_hand(bucket, arrivals)
+
+
 def test_no_rows(spark):
     assert token_bucket_admission(frame(spark, []), TokenBucket(1, 1.0)).collect() == []
