@@ -3,8 +3,8 @@
 Spark's own JSON readers are more lenient than the contract: they let duplicate keys, text after
 the object, numbers for strings and missing fields through. Two paths give the same answer here:
 
-* A record in the usual layout, compact and with just its fields in declared order, is recognised
-  by one pattern, which leaves nothing to judge but the calendar, and cut at its quotes.
+* A record in the usual layout, with just its fields in declared order, is recognised by one
+  pattern, which leaves nothing to judge but the calendar, and cut at its quotes.
 * Any other record is parsed, once, into a variant and judged field by field.
 """
 
@@ -36,7 +36,8 @@ _TEXT_FORM = (
 
 
 def _usual_layout() -> str:
-    """Pattern of a record that needs no parser: compact, without escapes or long numbers."""
+    """Pattern of a record that needs no parser: compact or with single blanks after commas and
+    colons, without escapes or long numbers."""
     fields = {
         "payment_id": '"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"',
         "direction": f'"(?:{"|".join(S.DIRECTIONS)})"',
@@ -48,7 +49,7 @@ def _usual_layout() -> str:
     }
 
     def of(struct):
-        return r"\{" + ",".join(f'"{name}":{fields[name]}' for name in struct.names) + r"\}"
+        return r"\{" + ", ?".join(f'"{name}": ?{fields[name]}' for name in struct.names) + r"\}"
 
     fields["amount"] = of(S.MONEY)
     return f"^{of(S.PAYMENT_EVENT)}$"
@@ -69,7 +70,7 @@ def _usual_fields() -> Column:
     def text(place, name):
         return F.get("parts", F.lit(place)).alias(name)
 
-    units = F.btrim(F.get("parts", F.lit(20)), F.lit(":},")).cast("bigint")
+    units = F.btrim(F.get("parts", F.lit(20)), F.lit(":}, ")).cast("bigint")
     return F.struct(
         text(3, "payment_id"),
         text(7, "direction"),
