@@ -11,13 +11,15 @@ from remitscope.llm.common import keyed_texts
 
 HOT_KEYS = 4096
 HOT_ROWS = 64
+KEY_CHARS = 16
 
 
 def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """Groups of documents with the same bytes of text, and the row of each that stays.
 
     Sampled splitters deal the texts to ranges, each range is sorted externally, and a window
-    compares every text with its neighbour in full. A text with more than 1/4096 of all rows (and
+    compares every text with its neighbour in full. The splitters are of the first 16 characters
+    and a hash, so that what is sampled stays small however long the texts are. A text with more than 1/4096 of all rows (and
     more than 64) has its copies cut into pieces by id before the sort, so one text cannot fill a
     range; there are at most 4096 such texts, and their pieces, found by the sort, are joined up by
     digest afterwards.
@@ -46,10 +48,11 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
                 F.pmod(F.xxhash64("doc_id"), F.col("pieces"))
             ),
         )
-        .repartitionByRange("text", "piece")
+        .withColumn("start", F.substring("text", 1, KEY_CHARS))
+        .repartitionByRange("start", "hash", "piece")
     )
     best, order = (F.max, F.desc_nulls_last) if keep == "largest" else (F.min, F.asc_nulls_last)
-    run = Window.partitionBy("text", "piece")
+    run = Window.partitionBy("start", "hash", "piece", "text")
     runs = dealt.select(
         "doc_id",
         F.col("pieces").isNotNull().alias("hot"),
@@ -64,7 +67,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         .agg(best("run_id").alias("all_id"), F.sum("run_size").alias("all_size"))
     )
     joined = runs.join(F.broadcast(whole), "text_sha256", "left")
-    is_hot = F.col("all_size").isNotNull()
+    is_hot = F.col("hot")
     keep_id = F.when(is_hot, F.col("all_id")).otherwise(F.col("run_id"))
     return joined.select(
         "doc_id",
