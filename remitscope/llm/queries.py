@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitscope.llm import exact_dedup, topk
+from remitscope.llm import exact_dedup, quality, topk, toxicity
 from remitscope.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, model)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.quality_scores(docs, model, threshold=0.3)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -21,6 +33,8 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op4_quality": op4_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
 }
