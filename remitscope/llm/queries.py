@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitscope.llm import exact_dedup, licenses, packing, quality, topk, toxicity
+from remitscope.llm import exact_dedup, html_extract, licenses, packing, quality, topk, toxicity
 from remitscope.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
     "op6_packing": op6_packing,
+    "op7_html_extract": op7_html_extract,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
 }
