@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitscope.llm import exact_dedup, html_extract, licenses, packing, quality, topk, toxicity
+from remitscope.llm import exact_dedup, html_extract, licenses, packing, quality, sentence_pieces, topk, toxicity
 from remitscope.llm.common import table
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.piece_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -45,6 +49,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op2_toxicity": op2_toxicity,
     "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
