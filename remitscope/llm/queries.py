@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitscope.llm import exact_dedup, html_extract, licenses, packing, quality, sentence_pieces, topk, toxicity
+from remitscope.llm import (
+    exact_dedup,
+    html_extract,
+    licenses,
+    packing,
+    quality,
+    sentence_pieces,
+    substring_dedup,
+    topk,
+    toxicity,
+)
 from remitscope.llm.common import table
 
 
@@ -31,6 +41,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, model, threshold=0.3)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -53,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op7_html_extract": op7_html_extract,
     "op8_exact_dedup": op8_exact_dedup,
