@@ -11,6 +11,7 @@ from remitscope.llm import (
     exact_dedup,
     html_extract,
     licenses,
+    near_dedup,
     packing,
     quality,
     sentence_pieces,
@@ -65,6 +66,10 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_toxicity": op2_toxicity,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html_extract": op7_html_extract,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_topk": op9_topk,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
