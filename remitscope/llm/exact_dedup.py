@@ -14,25 +14,12 @@ HOT_ROWS = 64
 KEY_CHARS = 16
 
 
-def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
-    """Groups of documents with the same bytes of text, and the row of each that stays.
+RUN = Window.partitionBy("start", "hash", "piece", "text")
 
-    Sampled splitters deal the texts to ranges, each range is sorted externally, and a window
-    compares every text with its neighbour in full. The splitters are of the first 16 characters
-    and a hash, so that what is sampled stays small however long the texts are. A text with more than 1/4096 of all rows (and
-    more than 64) has its copies cut into pieces by id before the sort, so one text cannot fill a
-    range; there are at most 4096 such texts, and their pieces, found by the sort, are joined up by
-    digest afterwards.
-
-    ``keep`` is "largest" or "smallest" id. Returns doc_id, keep_id, group_size, kept and
-    text_sha256, one row for each input row.
 
-    A null text counts as empty, and empty texts are equal. A null id is kept only where all ids of
-    the group are null. Of repeated rows with the same id and text, one is kept. Other columns are
-    ignored. An empty table gives no rows.
-    """
-    rows = keyed_texts(docs)
-    limit = max(HOT_ROWS, math.ceil(docs.count() / HOT_KEYS))
+def sorted_rows(rows: DataFrame) -> DataFrame:
+    """The rows dealt to ranges of contents, the copies of a hot text in several pieces."""
+    limit = max(HOT_ROWS, math.ceil(rows.count() / HOT_KEYS))
     hashed = rows.withColumn("hash", F.xxhash64("text"))
     hot = (
         hashed.groupBy("hash")
@@ -40,7 +27,7 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         .filter(F.col("count") > limit)
         .select("hash", F.ceil(F.col("count") / limit).alias("pieces"))
     )
-    dealt = (
+    return (
         hashed.join(F.broadcast(hot), "hash", "left")
         .withColumn(
             "piece",
@@ -51,15 +38,33 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         .withColumn("start", F.substring("text", 1, KEY_CHARS))
         .repartitionByRange("start", "hash", "piece")
     )
+
+
+def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
+    """Groups of documents with the same bytes of text, and the row of each that stays.
+
+    Sampled splitters deal the texts to ranges, each range is sorted externally, and a window
+    compares every text with its neighbour in full. The splitters are of the first 16 characters
+    and a hash, so that what is sampled stays small however long the texts are. A text with more than 1/4096 of all rows (and
+    more than 64) has its copies cut into pieces by id before the sort, so one text cannot fill a
+    range; there are at most 4096 such texts, and their pieces, found by the sort, are joined up by
+    digest afterwards.
+
+    ``keep`` is "largest" or "smallest" id. Returns doc_id, keep_id, group_size, kept and
+    text_sha256, one row for each input row.
+
+    A null text counts as empty, and empty texts are equal. A null id is kept only where all ids of
+    the group are null. Of repeated rows with the same id and text, one is kept. Other columns are
+    ignored. An empty table gives no rows.
+    """
     best, order = (F.max, F.desc_nulls_last) if keep == "largest" else (F.min, F.asc_nulls_last)
-    run = Window.partitionBy("start", "hash", "piece", "text")
-    runs = dealt.select(
+    runs = sorted_rows(keyed_texts(docs)).select(
         "doc_id",
         F.col("pieces").isNotNull().alias("hot"),
         F.sha2("text", 256).alias("text_sha256"),
-        best("doc_id").over(run).alias("run_id"),
-        F.count(F.lit(1)).over(run).alias("run_size"),
-        F.row_number().over(run.orderBy(order("doc_id"))).alias("place"),
+        best("doc_id").over(RUN).alias("run_id"),
+        F.count(F.lit(1)).over(RUN).alias("run_size"),
+        F.row_number().over(RUN.orderBy(order("doc_id"))).alias("place"),
     )
     whole = (
         runs.filter("hot AND place = 1")
@@ -76,3 +81,32 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         ((F.col("place") == 1) & F.col("doc_id").eqNullSafe(keep_id)).alias("kept"),
         "text_sha256",
     )
+
+
+def distinct_documents(docs: DataFrame, keep: str = "largest") -> DataFrame:
+    """One row of each group of equal texts, with all its columns; a null text stays null.
+
+    The same content sort as in ``exact_groups``. The first row of each run stays; of a hot text
+    the first rows of its pieces, some thousands in all, meet once more.
+    """
+    others = [F.col(f"`{name}`") for name in docs.columns]
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        F.struct(*others).alias("row"),
+    )
+    order = F.desc_nulls_last if keep == "largest" else F.asc_nulls_last
+    heads = (
+        sorted_rows(rows)
+        .select(
+            "doc_id",
+            "row",
+            F.col("pieces").isNotNull().alias("hot"),
+            F.sha2("text", 256).alias("text_sha256"),
+            F.row_number().over(RUN.orderBy(order("doc_id"))).alias("place"),
+        )
+        .filter("place = 1")
+    )
+    best = Window.partitionBy("text_sha256").orderBy(order("doc_id"))
+    joined = heads.filter("hot").withColumn("place", F.row_number().over(best)).filter("place = 1")
+    return heads.filter("NOT hot").select("row.*").unionByName(joined.select("row.*"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitscope.llm.components import components
@@ -346,6 +346,18 @@ class Search:
         return self.plausible_pairs(pairs, sets).unionByName(tiles).distinct()
 
 
+def with_key(docs: DataFrame) -> DataFrame:
+    """doc_id, key and text; the key is the id, or for a null id a hash of the text."""
+    given = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return given.select("doc_id", node_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+
+
+def node_key(doc_id: Column, text: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.xxhash64(F.coalesce(text, F.lit(""))))
+
+
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by shingle sets with a Jaccard similarity of ``percent`` or more.
 
@@ -363,12 +375,21 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Null and empty texts have no set: 0 shingles, and a component of their own. Rows that share an
     id are one node, and all of them are kept if it is the least. Null ids are nodes by their
-    text; they count as larger than any id. Other columns are ignored. An empty table gives no rows.
+    text; they count as larger than any id, and where a component has no other, one text is kept. Other columns are ignored. An empty table gives no rows.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    given = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).select("doc_id", key.alias("key"), "text")
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    return keyed_groups(docs, size, percent).select(*columns)
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_groups`` keeps."""
+    dropped = keyed_groups(docs, size, percent).filter("NOT kept").select("key").distinct()
+    key = node_key(F.col("doc_id"), F.col("text"))
+    return docs.join(dropped, key == dropped["key"], "left_anti")
+
+
+def keyed_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    given = with_key(docs)
     rows = written(given.mapInArrow(sketcher(size), SKETCH), "near-sketches")
     sets = written(
         rows.filter("n_shingles > 0")
@@ -412,9 +433,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least_id"))
     return placed.join(least, "root", "left").select(
         "doc_id",
+        "key",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("doc_id").eqNullSafe(F.col("least_id")))
-        .otherwise(F.lit(True))
+        F.when(F.col("n_shingles") == 0, F.lit(True))
+        .when(F.col("least_id").isNull(), F.col("key") == F.col("root"))
+        .otherwise(F.coalesce(F.col("doc_id") == F.col("least_id"), F.lit(False)))
         .alias("kept"),
     )

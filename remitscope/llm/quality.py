@@ -94,18 +94,29 @@ def fit(sample: list[tuple[int, str]], good_share: float) -> dict:
     return model | {"weights": weights, "mean": mean, "spread": spread}
 
 
+class Scores:
+    """A model ready to score texts."""
+
+    def __init__(self, model: dict):
+        self.model = model
+        self.good, self.bad = compressor(model["good"]), compressor(model["bad"])
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        model = self.model
+        if model["weights"] is None:
+            return np.full(len(texts), model["share"])
+        x = np.array([features(self.good, self.bad, (t or "").encode()) for t in texts])
+        z = (x.reshape(len(texts), -1) - model["mean"]) / model["spread"] @ model["weights"][:-1]
+        return 1 / (1 + np.exp(-np.clip(z + model["weights"][-1], -40, 40)))
+
+
 def scorer(model: dict):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good, bad = compressor(model["good"]), compressor(model["bad"])
+        scores = Scores(model)
         for ids, texts in text_batches(batches):
-            if model["weights"] is None:
-                scores = np.full(len(ids), model["share"])
-            else:
-                x = np.array([features(good, bad, t.encode()) for t in texts]).reshape(len(ids), -1)
-                z = (x - model["mean"]) / model["spread"] @ model["weights"][:-1]
-                scores = 1 / (1 + np.exp(-np.clip(z + model["weights"][-1], -40, 40)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+                [pa.array(ids, pa.int64()), pa.array(scores(texts), pa.float64())],
+                names=["doc_id", "score"],
             )
 
     return score
@@ -139,3 +150,16 @@ def quality_scores(docs: DataFrame, model: dict, threshold: float = 0.3) -> Data
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(model)
+        for batch in batches:
+            found = scores(batch.column(at).to_pylist())
+            yield batch.filter(pa.array(found >= threshold, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
