@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from remitscope.llm.common import keyed_texts
@@ -14,7 +14,9 @@ HOT_ROWS = 64
 KEY_CHARS = 16
 
 
-RUN = Window.partitionBy("start", "hash", "piece", "text")
+def run() -> WindowSpec:
+    """Neighbours of the sort with equal contents."""
+    return Window.partitionBy("start", "hash", "piece", "text")
 
 
 def sorted_rows(rows: DataFrame) -> DataFrame:
@@ -62,9 +64,9 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
         "doc_id",
         F.col("pieces").isNotNull().alias("hot"),
         F.sha2("text", 256).alias("text_sha256"),
-        best("doc_id").over(RUN).alias("run_id"),
-        F.count(F.lit(1)).over(RUN).alias("run_size"),
-        F.row_number().over(RUN.orderBy(order("doc_id"))).alias("place"),
+        best("doc_id").over(run()).alias("run_id"),
+        F.count(F.lit(1)).over(run()).alias("run_size"),
+        F.row_number().over(run().orderBy(order("doc_id"))).alias("place"),
     )
     whole = (
         runs.filter("hot AND place = 1")
@@ -103,7 +105,7 @@ def distinct_documents(docs: DataFrame, keep: str = "largest") -> DataFrame:
             "row",
             F.col("pieces").isNotNull().alias("hot"),
             F.sha2("text", 256).alias("text_sha256"),
-            F.row_number().over(RUN.orderBy(order("doc_id"))).alias("place"),
+            F.row_number().over(run().orderBy(order("doc_id"))).alias("place"),
         )
         .filter("place = 1")
     )

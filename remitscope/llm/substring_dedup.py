@@ -10,6 +10,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from remitscope.llm.words import Words, grams, sliding, word_hashes, words_of
 
@@ -337,8 +338,7 @@ def without_repeats(
         .groupBy("key")
         .applyInArrow(answer_windows, SCHEMA)
     )
-    rest = rows.schema["rest"].dataType.simpleString()
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, text string")
     return dealt.cogroup(anchors.unionByName(windows).groupBy("key")).applyInArrow(
-        remove_repeats(window),
-        f"doc_id long, n_words long, n_removed long, text string, rest {rest}",
+        remove_repeats(window), schema.add("rest", rows.schema["rest"].dataType)
     )
