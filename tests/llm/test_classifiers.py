@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpus_cases import is_held_out
+from remitscope.llm import quality, toxicity
+from remitscope.llm.common import table
+
+SF_DIR = "/root/testdata/sf0.1"
+
+KINDS = {
+    "toxic": (toxicity.train, toxicity.toxicity_scores, 0.5),
+    "quality": (quality.train, quality.quality_scores, 0.3),
+}
+
+
+@pytest.fixture(params=sorted(KINDS))
+def kind(request):
+    return request.param, *KINDS[request.param]
+
+
+def scores(rows):
+    return {(row.doc_id, row.score) for row in rows.collect()}
+
+
+def test_held_out_accuracy(spark, kind):
+    label, train, score, threshold = kind
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    found = score(docs, train(docs, labels)).join(labels, "doc_id").filter("held_out")
+    rows = [(row[label], row.score, row.predicted) for row in found.collect()]
+    truth, value, predicted = map(np.array, zip(*rows))
+    assert len(rows) > 500 and 0 < truth.mean() < 1
+    assert (predicted == (value >= threshold)).all()
+    assert (truth == predicted).mean() > 0.95
+    assert value[truth == 1].mean() > value[truth == 0].mean() + 0.5
+
+
+def test_held_out_labels_and_other_columns_are_never_inputs(spark, kind):
+    label, train, score, _ = kind
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    labels = table(spark, "/root/testdata/sf0.001", "labels")
+    turned = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, 1 - F.col(label)).otherwise(F.col(label))
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string")})
+    assert scores(score(docs, train(docs, labels))) == scores(
+        score(other, train(other, labels.withColumn(label, turned)))
+    )
+
+
+def test_awkward_rows(spark, kind, messy, messy_rows, no_documents):
+    label, train, score, _ = kind
+    given = [(doc_id, i % 2) for i, (doc_id, _) in enumerate(messy_rows)] + [(1, None), (99, 1), (3, 7)]
+    labels = spark.createDataFrame(given, f"doc_id long, {label} int")
+    model = train(messy, labels)
+    rows = score(messy, model).collect()
+    assert len(rows) == len(messy_rows)
+    assert all(0 <= row.score <= 1 and row.held_out == is_held_out(row.doc_id) for row in rows)
+    empty = {row.score for row in rows if row.doc_id in (0, 1)}
+    assert len(empty) == 1
+    assert score(no_documents, model).count() == 0
+    for known in (labels.limit(0), labels.filter(f"{label} = 1"), labels.filter(f"{label} = 0")):
+        assert len({row.score for row in score(messy, train(messy, known)).collect()}) == 1
+
+
+def test_offending_sentences_are_located(spark):
+    bad = "Fine words here. You utter villain! More fine words."
+    rows = [(i, bad if i % 3 == 0 else f"Fine words number {i}. More of them here.") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    found = toxicity.toxicity_scores(docs, toxicity.train(docs, labels)).filter("predicted = 1").collect()
+    assert {row.doc_id for row in found} == set(range(0, 300, 3))
+    spans = {bad[s.start : s.end].strip() for row in found for s in row.sentences}
+    assert spans == {"You utter villain!"}
+
+
+def test_kept_documents_are_those_that_score_enough(spark, messy):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = quality.train(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    kept = quality.keep_good(docs, model, 0.3)
+    wanted = quality.quality_scores(docs, model, 0.3).filter("predicted = 1")
+    assert kept.schema == docs.schema
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in wanted.collect()}
+    assert quality.keep_good(messy, model).columns == messy.columns
