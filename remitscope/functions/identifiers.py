@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 _HYPHENATED = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 _ACCEPTED = (
-    rf"^([0-9a-fA-F]{{32}}|{_HYPHENATED}|\{{{_HYPHENATED}\}}|urn:uuid:{_HYPHENATED})$"
+    rf"^([0-9a-fA-F]{{32}}|{_HYPHENATED}|\{{{_HYPHENATED}\}}|urn:uuid:{_HYPHENATED})\z"
 )
 
-_ANY_SPELLING = r"^.*?([0-9a-f]{8})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{12})}?$"
+_ANY_SPELLING = r"^.*?([0-9a-f]{8})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{12})}?\z"
 
 
 def is_uuid(text: Column) -> Column:

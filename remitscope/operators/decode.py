@@ -6,6 +6,10 @@ the object, numbers for strings and missing fields through. Two paths give the s
 * A record in the usual layout, with just its fields in declared order, is recognised by one
   pattern, which leaves nothing to judge but the calendar, and cut at its quotes.
 * Any other record is parsed, once, into a variant and judged field by field.
+
+Fields of other names are ignored, unless one occurs twice in the same object: the parser rejects
+any repeated name, so such a record is malformed. Times carry offsets up to 18:00 and no leap
+seconds, the range that timestamps have.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +33,9 @@ REJECT_REASONS = [
 
 _LEAVES = ["payment_id", "direction", "account", "status", "occurred_at", "amount.currency"]
 
+# Inside of a text, the quotes would carry backslashes.
+_NEGATIVE_ZERO = r'"minor_units"[ \t\r\n]*:[ \t\r\n]*-0[ \t\r\n]*[,}]'
+
 _TEXT_FORM = (
     "struct<payment_id: string, direction: string, account: string, "
     "amount: struct<currency: string, minor_units: bigint>, status: string, occurred_at: string>"
@@ -52,7 +59,7 @@ def _usual_layout() -> str:
         return r"\{" + ", ?".join(f'"{name}": ?{fields[name]}' for name in struct.names) + r"\}"
 
     fields["amount"] = of(S.MONEY)
-    return f"^{of(S.PAYMENT_EVENT)}$"
+    return rf"^{of(S.PAYMENT_EVENT)}\z"
 
 
 def _once(*computed: Column) -> Column:
@@ -97,7 +104,10 @@ def _shape_reason() -> Column:
         F.lit(False),
     )
     units = "amount.minor_units"
-    units_unfit = ~is_missing(units) & (_type(f"$[0].{units}") != "BIGINT")
+    # A negative zero is no integer, but a parser takes it for one.
+    is_zero = F.coalesce(F.try_variant_get("doc", f"$[0].{units}", "bigint") == 0, F.lit(False))
+    negative_zero = is_zero & F.col("value").cast("string").rlike(_NEGATIVE_ZERO)
+    units_unfit = ~is_missing(units) & (_type(f"$[0].{units}") != "BIGINT") | negative_zero
     amount_unfit = ~is_missing("amount") & ~_type("$[0].amount").startswith("OBJECT")
     missing = is_missing(units)
     for path in _LEAVES:

@@ -8,7 +8,7 @@ from remitscope.functions.identifiers import uuid_bytes
 
 
 def _json(fields: list[str]) -> Column:
-    return F.to_json(F.struct(*fields), {"timestampFormat": S.JSON_TIMESTAMP_FORMAT})
+    return F.to_json(F.struct(*fields), {"timestampFormat": S.JSON_TIMESTAMP_FORMAT, "timeZone": "UTC"})
 
 
 def event_json() -> Column:

@@ -180,9 +180,14 @@ def stalled_intervals(
     rows: DataFrame,
     silence_seconds: int = ALERT_WINDOW_SECONDS + STALL_HOLD_SECONDS,
     ts: str = "ts",
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Gaps of at least ``silence_seconds`` between consecutive events.
 
+    With ``as_of``, also the stall that is still going on then: from the last event to that
+    moment, which stands as its end. An input without events counts as stalled, with no start
+    and no length; an ``as_of`` before the last event adds nothing.
+
     Two events that far apart never share a bin of that length, so the first and last event of
     each bin are enough. Bins meet their successor within a day. The last bin of each day meets
     the first event of the next one; these, one row per day, are the only ones in a common group.
@@ -193,7 +198,7 @@ def stalled_intervals(
     over_days = Window.partitionBy("apart").orderBy("day")
     following = F.coalesce(F.col("next_in_day"), F.lead("first_of_day").over(over_days))
     gap_us = F.col("next") - F.col("last")
-    return (
+    gaps = (
         rows.select(epoch_micros(F.col(ts)).alias("us"))
         .groupBy(_floor_div(F.col("us"), silence_us).alias("bin"))
         .agg(F.min("us").alias("first"), F.max("us").alias("last"))
@@ -203,9 +208,14 @@ def stalled_intervals(
         .withColumn("apart", F.when(F.col("next_in_day").isNotNull(), F.col("bin")))
         .select("last", following.alias("next"))
         .where(gap_us >= silence_us)
-        .select(
-            from_epoch_micros(F.col("last")).alias("last_ts"),
-            from_epoch_micros(F.col("next")).alias("next_ts"),
-            int_div(gap_us, 1000).alias("gap_ms"),
+    )
+    if as_of is not None:
+        ongoing = rows.agg(F.max(epoch_micros(F.col(ts))).alias("last")).select(
+            "last", epoch_micros(as_of).alias("next")
         )
+        gaps = gaps.unionByName(ongoing.where(F.col("last").isNull() | (gap_us >= silence_us)))
+    return gaps.select(
+        from_epoch_micros(F.col("last")).alias("last_ts"),
+        from_epoch_micros(F.col("next")).alias("next_ts"),
+        int_div(gap_us, 1000).alias("gap_ms"),
     )

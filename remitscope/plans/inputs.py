@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from remitscope import schema as S
 from remitscope.functions.identifiers import canonical_uuid, uuid_bytes
 from remitscope.functions.money import money
-from remitscope.functions.times import int_div
+from remitscope.functions.times import int_div, utc_instant
 from remitscope.operators.encode import event_json
 
 # The instant as of which batch queries enrich.
-AS_OF = "2024-01-16 00:00:00"
+AS_OF = "2024-01-16 00:00:00Z"
 
 
 def as_of():
@@ -23,9 +23,9 @@ def _pick(names: list[str], index) -> Column:
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as stored, with ``ts`` as an instant. The stored times are UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+    is_instant = events.schema["ts"].dataType.typeName() == "timestamp"
+    return events if is_instant else events.withColumn("ts", utc_instant(F.col("ts")))
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment events as topic records; ten of each fifty are damaged, one way each."""
+    """Payment events as topic records; fourteen of each fifty are damaged, one way each."""
     text = event_json()
     account = F.concat(F.lit('"account":"'), F.col("account"), F.lit('"'))
 
@@ -78,6 +78,10 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, swap(account, '"account":5'))
         .when(kind == 8, swap(account, F.concat(account, F.lit(","), account)))
         .when(kind == 9, F.lit(""))
+        .when(kind == 10, swap(F.col("payment_id"), F.concat(F.col("payment_id"), F.lit("\\n"))))
+        .when(kind == 11, swap('Z"', 'Z\\n"'))
+        .when(kind == 12, F.concat(text, F.lit("\u2028")))
+        .when(kind == 13, swap(account, F.concat(F.lit('"note":1,"note":2,'), account)))
         .otherwise(text)
     )
     return payments(spark, sf_dir).select(

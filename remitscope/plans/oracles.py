@@ -165,14 +165,15 @@ SELECT 'settled', list_position({_CURRENCIES}, key) - 1, key, settled_minor_unit
 FROM snapshot WHERE dimension = 'currency'""",
     "decode_events": _payments(
         'SELECT event_id AS "offset", payment_id, direction, account, currency, minor_units, '
-        "status, occurred_at FROM payments WHERE event_id % 50 > 9"
+        "status, occurred_at FROM payments WHERE event_id % 50 > 13"
     ),
     "poison_records": """
 SELECT event_id AS "offset",
        CASE event_id % 50 WHEN 1 THEN 'missing_field' WHEN 3 THEN 'unknown_enum'
             WHEN 5 THEN 'bad_timestamp' WHEN 6 THEN 'bad_uuid' WHEN 7 THEN 'wrong_type'
+            WHEN 10 THEN 'bad_uuid' WHEN 11 THEN 'bad_timestamp'
             ELSE 'malformed' END AS reject_reason
-FROM events WHERE event_id % 50 < 10 AND event_id % 50 <> 4""",
+FROM events WHERE event_id % 50 < 14 AND event_id % 50 <> 4""",
     "tombstone_filter": 'SELECT event_id AS "offset" FROM events WHERE event_id % 50 <> 4',
     "publish_outcomes": _log(
         """
@@ -225,7 +226,7 @@ FROM (SELECT unnest(generate_series(epoch_us(ts) // 10000000 + 1, epoch_us(ts) /
 GROUP BY tick""",
     "stalled_intervals": """
 SELECT ts AS last_ts, next_ts, (epoch_us(next_ts) - epoch_us(ts)) // 1000 AS gap_ms
-FROM (SELECT ts, lead(ts) OVER (ORDER BY ts) AS next_ts FROM events)
+FROM (SELECT ts, lead(ts, 1, TIMESTAMP '2024-03-01 00:00:00') OVER (ORDER BY ts) AS next_ts FROM events)
 WHERE epoch_us(next_ts) - epoch_us(ts) >= 900000000""",
     "token_bucket_admission": """
 WITH RECURSIVE arrivals AS (

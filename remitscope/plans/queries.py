@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from remitscope import schema as S
 from remitscope.functions import money as M
+from remitscope.functions.times import utc_wall_clock
 from remitscope.operators import aggregates, decode, encode, publish_log, rates
 from remitscope.operators.admission import TokenBucket, token_bucket_admission
 from remitscope.operators.enrich import enrich, positive_amounts, terminal_events
@@ -13,12 +14,13 @@ from remitscope.plans import inputs
 # Parameters that suit the density of the test tables.
 BUCKET = TokenBucket(capacity=1, refill_per_sec=1 / 7200)
 ALERT_THRESHOLD = 0.01
+STALLED_UNTIL = "2024-03-01 00:00:00Z"
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
     """Instants as UTC wall-clock times, the form in which the tables hold them."""
     times = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
-    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+    return df.withColumns({name: utc_wall_clock(F.col(name)) for name in times})
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
@@ -72,14 +74,9 @@ def format_money(spark, sf_dir):
 
 
 def money_add(spark, sf_dir):
-    """Each amount plus that of the next event, where there is one.
-
-    Copies of the next event are combined first, so they do not multiply the rows.
-    """
+    """Each amount plus that of each next event; an id that occurs twice gives both sums."""
     amounts = inputs.payments(spark, sf_dir).select("event_id", "amount")
-    following = amounts.groupBy((F.col("event_id") - 1).alias("event_id")).agg(
-        F.min("amount").alias("next_amount")
-    )
+    following = amounts.select((F.col("event_id") - 1).alias("event_id"), F.col("amount").alias("next_amount"))
     total = M.try_add(F.col("amount"), F.col("next_amount"))
     return (
         amounts.join(following, "event_id")
@@ -199,7 +196,8 @@ def event_rate_sliding(spark, sf_dir):
 
 
 def stalled_intervals(spark, sf_dir):
-    return _plain_times(rates.stalled_intervals(inputs.read_events(spark, sf_dir)))
+    until = F.to_timestamp(F.lit(STALLED_UNTIL))
+    return _plain_times(rates.stalled_intervals(inputs.read_events(spark, sf_dir), as_of=until))
 
 
 def token_bucket(spark, sf_dir):

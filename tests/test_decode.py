@@ -1,6 +1,7 @@
 """The strict decode contract, one record per case."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -43,9 +44,21 @@ ACCEPTED = {
     "braced uuid": having(payment_id="{8f2c0000-0000-0000-0000-000000000001}"),
     "urn": having(payment_id="urn:uuid:8f2c0000-0000-0000-0000-000000000001"),
     "blanks around": f" \n\t{TEXT}  ",
+    "negative zero in a text": having(
+        extra='"minor_units":-0,', amount={"currency": "MXN", "minor_units": 0}
+    ),
     "escaped text": TEXT.replace("acct-1", "\\u0061cct-1"),
 }
 REJECTED = {
+    "line feed after uuid": (having(payment_id=BASE["payment_id"] + "\n"), "bad_uuid"),
+    "line feed after time": (having(occurred_at=BASE["occurred_at"] + "\n"), "bad_timestamp"),
+    "line separator after": (TEXT + "\u2028", "malformed"),
+    "next line after": (TEXT + "\u0085", "malformed"),
+    "negative zero": (amount("-0"), "malformed"),
+    "negative zero, compact": (amount("-0").replace(": ", ":"), "malformed"),
+    "unknown field twice": (TEXT.replace("{", '{"x": 1, "x": 2, ', 1), "malformed"),
+    "leap second": (having(occurred_at="2026-06-30T23:59:60Z"), "bad_timestamp"),
+    "offset beyond 18:00": (having(occurred_at="2026-06-30T23:00:00+18:30"), "bad_timestamp"),
     "no value": (None, "tombstone"),
     "truncated": (TEXT[:40], "malformed"),
     "empty": ("", "malformed"),
@@ -162,7 +175,7 @@ def test_both_paths_agree(spark):
     names = [*S.PAYMENT_EVENT.fieldNames(), "reject_reason"]
     usual = decode.decode(records).where("reject_reason IS NULL").select("offset", *names)
     parsed = decode.decode(spaced).where("reject_reason IS NULL").select("offset", *names)
-    assert usual.count() == 800
+    assert usual.count() == 720
     assert usual.exceptAll(parsed).count() == 0 and parsed.exceptAll(usual).count() == 0
     reasons = [
         decode.decode(frame).groupBy("reject_reason").count() for frame in (records, spaced)
@@ -187,3 +200,46 @@ def test_one_parse_per_record(spark):
     found = decode.accepted(decode.decode(_records(spark, [TEXT.encode()])))
     plan = found.select("account", "status")._jdf.queryExecution()
     assert plan.optimizedPlan().toString().count("parseJson") == 1
+
+
+def mutated(text, draw):
+    """The record with one to three characters dropped, doubled, swapped or put in."""
+    for _ in range(draw.randint(1, 3)):
+        at = draw.randrange(len(text))
+        kind = draw.randrange(4)
+        new = draw.choice('"{}[],:0- \\\n\u2028Zz1aE.')
+        text = {
+            0: text[:at] + text[at + 1 :],
+            1: text[:at] + text[at] + text[at:],
+            2: text[:at] + new + text[at + 1 :],
+            3: text[:at] + new + text[at:],
+        }[kind]
+    return text
+
+
+def test_both_paths_agree_on_mutated_records(spark, monkeypatch):
+    draw = random.Random(3)
+    compact = json.dumps(BASE, separators=(",", ":"))
+    texts = [mutated(draw.choice([TEXT, compact]), draw) for _ in range(1500)]
+    rows = [(i, text.encode()) for i, text in enumerate(texts)]
+    records = spark.createDataFrame(rows, "offset bigint, value binary")
+
+    def found():
+        return {row["offset"]: tuple(row) for row in decode.decode(records).collect()}
+
+    with_shortcut = found()
+    monkeypatch.setattr(decode, "_usual_layout", lambda: r"(?!)")
+    assert found() == with_shortcut
+    assert len({row[-1] for row in with_shortcut.values()}) > 4
+
+
+def test_json_times_do_not_follow_the_session_zone(spark):
+    events = decode.events_only(
+        decode.decode(spark.createDataFrame([(TEXT.encode(),)], "value binary"))
+    ).select(event_json().alias("text"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        assert '"occurred_at":"2026-07-12T10:00:00.123456Z"' in events.first()["text"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

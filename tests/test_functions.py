@@ -1,6 +1,6 @@
 """Money, names, identifiers, times and risk on hand-made values."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from remitscope import schema as S
 from remitscope.functions import identifiers, money, names, risk, times
 from remitscope.operators.enrich import is_terminal
+from remitscope.plans import inputs
+from remitscope.plans.queries import QUERIES
 
 MIN, MAX = -(2**63), 2**63 - 1
 
@@ -168,3 +170,25 @@ def test_rfc3339(spark, text, parsed):
 def test_elapsed_ms(spark, micros, ms):
     column = times.elapsed_ms(F.timestamp_micros(F.lit(0)), F.timestamp_micros("us"))
     assert evaluate(spark, [(micros,)], "us bigint", column) == [ms]
+
+
+def test_utc_times_do_not_follow_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    walls = [datetime(2024, 3, 31, 2, 30, 1, 123456), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(2024, 10, 27, 1)]
+    rows = spark.createDataFrame([(w,) for w in walls], "t timestamp_ntz")
+    try:
+        for name in ("Europe/Berlin", "America/Sao_Paulo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            instant = times.utc_instant(F.col("t"))
+            found = rows.select(F.unix_micros(instant), times.utc_wall_clock(instant)).collect()
+            wanted = [(round((w - datetime(1970, 1, 1)) / timedelta(microseconds=1)), w) for w in walls]
+            assert [tuple(r) for r in found] == wanted
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sums_with_an_id_that_occurs_twice(spark, tmp_path):
+    events = inputs.read_events(spark, "/root/testdata/sf0.001").limit(6)
+    twice = events.unionByName(events.limit(6).withColumn("value", F.col("value") + 1))
+    twice.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES["money_add"](spark, str(tmp_path)).count() == 5 * 4

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from remitscope.operators import rates
 
@@ -107,3 +108,16 @@ def test_stalled_against_sorted_list(spark, silence):
         for r in found
     ]
     assert sorted(pairs) == expected
+
+
+def test_a_stall_that_goes_on_ends_with_the_given_moment(spark):
+    moment = F.to_timestamp(F.lit("2024-01-01 02:00:00"))
+    one = spark.createDataFrame([(datetime(2024, 1, 1, 1),)], "ts timestamp")
+    assert [tuple(r) for r in rates.stalled_intervals(one, as_of=moment).collect()] == [
+        (datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2), 3_600_000)
+    ]
+    assert rates.stalled_intervals(one).count() == 0
+    (row,) = rates.stalled_intervals(one.limit(0), as_of=moment).collect()
+    assert tuple(row) == (None, datetime(2024, 1, 1, 2), None)
+    before = F.to_timestamp(F.lit("2024-01-01 00:30:00"))
+    assert rates.stalled_intervals(one, as_of=before).count() == 0

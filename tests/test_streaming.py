@@ -53,7 +53,7 @@ def test_read_model_equals_batch_and_survives_a_restart(spark, topic, good, tmp_
     stream = files.stream_records(spark, topic, max_files=1)
     query = finish(jobs.start_read_model(stream, folder, checkpoint))
     assert len([p for p in query.recentProgress if p.numInputRows]) == 4
-    assert jobs.reported(query) == {"consumed": 800, "rejected": 180}
+    assert jobs.reported(query) == {"consumed": 720, "rejected": 260}
 
     expected = aggregates.snapshot(enrich(good)).orderBy("dimension", "key").collect()
     columns = ["dimension", "key", "n", "settled_minor_units", "max_risk_score"]
