@@ -9,16 +9,18 @@ from remitscope.operators.encode import encode
 
 
 def kafka_sink_options(params: JobParams) -> dict[str, str]:
-    """Options of Spark's Kafka sink. The producer retries single records within the timeout."""
+    """Options of Spark's Kafka sink.
+
+    The producer does not retry: the publisher does, so that an event is sent four times at most
+    while the batch is whole. Set ``spark.task.maxFailures`` to 1 on a job that must not repeat tasks.
+    """
     return {
         "kafka.bootstrap.servers": ",".join(params.brokers),
         "topic": params.output_topic,
         "kafka.compression.type": "none",
-        "kafka.retries": str(params.retry.max_attempts - 1),
-        "kafka.retry.backoff.ms": str(round(params.retry.initial_backoff * 1000)),
-        "kafka.retry.backoff.max.ms": str(round(params.retry.max_backoff * 1000)),
+        "kafka.retries": "0",
         "kafka.request.timeout.ms": str(params.publish_timeout_ms),
-        "kafka.delivery.timeout.ms": str(params.publish_timeout_ms * params.retry.max_attempts),
+        "kafka.delivery.timeout.ms": str(params.publish_timeout_ms),
     }
 
 

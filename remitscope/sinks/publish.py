@@ -1,27 +1,59 @@
-"""Publishing a micro-batch with bounded retries, a dead-letter table and a ledger."""
+"""Publishing a micro-batch event by event: retries, dead letters, attempt log, ledger, counters."""
 
 import logging
 import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitscope import schema as S
 from remitscope.config import RetryPolicy
 
 _log = logging.getLogger(__name__)
 
-_LEDGER = "batch_id bigint, attempts int, events bigint, published bigint, error string"
+_LEDGER = "attempts int, events bigint, published bigint, dead bigint, error string"
+_METRICS = "consumed bigint, rejected bigint, published bigint, publish_failed bigint"
+_ATTEMPT = "depth int, prefix bigint, started timestamp, outcome string, duration_ms bigint"
+
+# A part that keeps failing is cut into 16 by four bits of a hash, down to 60 bits.
+_BITS = 4
+_MOST_DEPTH = 15
+
+
+@dataclass(frozen=True)
+class Part:
+    """The events of a batch whose hash begins with ``depth`` times four given bits."""
+
+    depth: int = 0
+    prefix: int = 0
+
+    def children(self) -> list["Part"]:
+        return [Part(self.depth + 1, (self.prefix << _BITS) + i) for i in range(1 << _BITS)]
+
+
+def _prefix(depth: Column) -> Column:
+    """The part of an event at a depth: the upper bits of its hash are its way down the parts."""
+    return F.call_function("shiftright", F.col("_hash"), (_MOST_DEPTH - depth) * _BITS)
+
+
+def _holds(depth: Column, prefix: Column) -> Column:
+    return _prefix(depth) == prefix
 
 
 class BatchPublisher:
-    """``foreachBatch`` function that hands each micro-batch to ``write``.
+    """``foreachBatch`` function that hands each micro-batch of events to ``write``.
+
+    A batch is first tried as a whole, with capped exponential backoff. If it stays unpublished,
+    it is cut into parts by a hash of its events, again and again where a part fails, so that only
+    the events that fail by themselves go to the dead-letter table. A sink that refuses
+    ``give_up_after`` parts in a row counts as down, and all that is left goes there.
 
-    A batch is tried as a whole, with capped exponential backoff. One that stays unpublished goes
-    to the dead-letter table instead of being dropped, and the stream goes on. The ledger row of a
-    batch is written last, so a batch replayed after a crash is published again unless it had been
-    finished: at least once towards the sink, exactly once in the ledger.
+    Everything is kept by query and batch, the query by the id that its checkpoint holds: a new
+    checkpoint publishes anew, and a batch replayed after a crash is published again unless it had
+    been finished. So it is at least once towards the sink, exactly once in ledger, log and counters.
     """
 
     def __init__(
@@ -30,53 +62,161 @@ class BatchPublisher:
         folder: str,
         retry: RetryPolicy = RetryPolicy(),
         sleep: Callable[[float], None] = time.sleep,
+        sink_key: str = "sink",
+        give_up_after: int = 64,
+        budget_ms: int = 5_000,
     ):
-        self.write, self.retry, self.sleep = write, retry, sleep
-        self.ledger = f"{folder}/ledger"
-        self.dead_letters = f"{folder}/dead_letters"
+        self.write, self.folder, self.retry, self.sleep = write, folder, retry, sleep
+        self.sink_key, self.give_up_after, self.budget_ms = sink_key, give_up_after, budget_ms
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, consumed: int | None = None, rejected: int = 0) -> None:
         spark = batch.sparkSession
-        if self._is_finished(spark, batch_id):
+        place = f"query_id={query_id(spark)}/batch_id={batch_id}"
+        if self._is_finished(spark, place):
             return
-        error = None
-        for attempt in range(1, self.retry.max_attempts + 1):
-            counted = Observation()
-            rows = batch.observe(counted, F.count("*").alias("events"))
-            try:
-                self.write(rows)
-            except Exception as failure:
-                error = str(failure)
-                _log.warning("batch %s: attempt %s failed: %s", batch_id, attempt, error)
-                if attempt < self.retry.max_attempts:
-                    self.sleep(self.retry.backoff(attempt))
-            else:
-                events = counted.get["events"]
-                self._finish(spark, batch_id, attempt, events, events, None)
-                return
-        counted = Observation()
-        rows = batch.observe(counted, F.count("*").alias("events"))
-        rows.write.mode("overwrite").parquet(f"{self.dead_letters}/batch_id={batch_id}")
-        self._finish(spark, batch_id, attempt, counted.get["events"], 0, error)
-
-    def _ledger_row(self, batch_id: int) -> str:
-        return f"{self.ledger}/batch_id={batch_id}"
-
-    def _is_finished(self, spark: SparkSession, batch_id: int) -> bool:
+        names = batch.columns
+        numbered = batch.withColumn("_event", F.monotonically_increasing_id())
+        hashed = F.xxhash64(*names).bitwiseAND(F.lit((1 << _BITS * _MOST_DEPTH) - 1))
+        held = numbered.withColumn("_hash", hashed).persist()
         try:
-            return bool(spark.read.parquet(self._ledger_row(batch_id)).take(1))
+            run = _Run(self, held, names, spark)
+            events = held.count()
+            if events:
+                run.publish()
+            dead = run.dead_letters()
+            dead.select(names).write.mode("overwrite").parquet(f"{self.folder}/dead_letters/{place}")
+            run.log(f"{place}").write.mode("overwrite").parquet(f"{self.folder}/attempts/{place}")
+            n_dead = dead.count() if run.failed else 0
+            consumed = events if consumed is None else consumed
+            counters = [(consumed, rejected, events - n_dead, run.failures)]
+            self._row(spark, counters, _METRICS, f"metrics/{place}")
+            ledger = [(len(run.attempts), events, events - n_dead, n_dead, run.error)]
+            self._row(spark, ledger, _LEDGER, f"ledger/{place}")
+        finally:
+            held.unpersist()
+
+    def _row(self, spark: SparkSession, rows: list[tuple], schema: str, place: str) -> None:
+        frame = spark.createDataFrame(rows, schema).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.folder}/{place}")
+
+    def _is_finished(self, spark: SparkSession, place: str) -> bool:
+        try:
+            return bool(spark.read.parquet(f"{self.folder}/ledger/{place}").take(1))
         except AnalysisException:
             return False
 
-    def _finish(self, spark, batch_id, attempts, events, published, error) -> None:
-        row = spark.createDataFrame([(batch_id, attempts, events, published, error)], _LEDGER)
-        row.drop("batch_id").write.mode("overwrite").parquet(self._ledger_row(batch_id))
+
+class _Run:
+    """The attempts at one batch, and which of its parts failed for good."""
+
+    def __init__(self, publisher: BatchPublisher, held: DataFrame, names: list[str], spark: SparkSession):
+        self.publisher, self.held, self.names, self.spark = publisher, held, names, spark
+        self.attempts: list[tuple] = []
+        self.failed: list[Part] = []
+        self.error: str | None = None
+        self.failures = 0  # events times failed attempts
+        self.in_a_row = 0
+
+    def rows(self, part: Part) -> DataFrame:
+        if not part.depth:
+            return self.held
+        return self.held.where(_holds(F.lit(part.depth), F.lit(part.prefix)))
+
+    def attempt(self, part: Part) -> bool:
+        started, clock = F.current_timestamp(), time.monotonic()
+        started = self.spark.range(1).select(started).first()[0]
+        try:
+            self.publisher.write(self.rows(part).select(self.names))
+            outcome = S.PUBLISHED
+        except Exception as failure:
+            self.error = str(failure)
+            outcome = S.TIMED_OUT if isinstance(failure, TimeoutError) else S.FAILED
+            _log.warning("part %s failed: %s", part, self.error)
+        duration = round((time.monotonic() - clock) * 1000)
+        self.attempts.append((part.depth, part.prefix, started, outcome, duration))
+        self.in_a_row = 0 if outcome == S.PUBLISHED else self.in_a_row + 1
+        if outcome == S.FAILED:
+            self.failures += self.rows(part).count()
+        return outcome == S.PUBLISHED
+
+    def publish(self) -> None:
+        retry = self.publisher.retry
+        for attempt in range(1, retry.max_attempts + 1):
+            if self.attempt(Part()):
+                return
+            if attempt < retry.max_attempts:
+                self.publisher.sleep(retry.backoff(attempt))
+        self.in_a_row = 0
+        self.cut(Part())
+
+    def cut(self, part: Part) -> None:
+        """Tries the parts of a part that failed; one that cannot be cut has failed for good."""
+        is_one = self.rows(part).agg(F.min("_hash") == F.max("_hash")).first()[0]
+        if is_one or part.depth == _MOST_DEPTH:
+            self.failed.append(part)
+            return
+        prefixes = self.rows(part).select(_prefix(F.lit(part.depth + 1))).distinct()
+        present = {row[0] for row in prefixes.collect()}  # 16 at most
+        for child in part.children():
+            if child.prefix not in present:
+                continue
+            if self.in_a_row >= self.publisher.give_up_after:
+                self.failed.append(child)
+            elif not self.attempt(child):
+                self.cut(child)
+
+    def dead_letters(self) -> DataFrame:
+        if not self.failed:
+            return self.held.limit(0)
+        held = F.lit(False)
+        for part in self.failed:
+            held = held | _holds(F.lit(part.depth), F.lit(part.prefix)) if part.depth else F.lit(True)
+        return self.held.where(held)
+
+    def log(self, place: str) -> DataFrame:
+        """A row for each event and attempt, as the operators over the publish log take them."""
+        made = self.spark.createDataFrame(self.attempts, _ATTEMPT).withColumn(
+            "order", F.monotonically_increasing_id()
+        )
+        listed = made.agg(F.sort_array(F.collect_list(F.struct("order", *made.columns[:-1]))).alias("all"))
+        own = F.filter("all", lambda a: (a["depth"] == 0) | _holds(a["depth"], a["prefix"]))
+        return (
+            self.held.select("_event", "_hash")
+            .join(F.broadcast(listed))  # one row
+            .select(F.xxhash64(F.lit(place), F.col("_event")).alias("event_id"), F.posexplode(own))
+            .select(
+                "event_id",
+                (F.col("pos") + 1).alias("attempt"),
+                F.lit(self.publisher.sink_key).alias("sink_key"),
+                F.col("col.started").alias("ts"),
+                "col.outcome",
+                "col.duration_ms",
+            )
+        )
+
+
+def query_id(spark: SparkSession) -> str:
+    """The id of the streaming query that runs this batch, which its checkpoint holds."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """Attempts, events and published events per micro-batch."""
+    """Attempts, events, published events and dead letters per query and micro-batch."""
     return spark.read.parquet(f"{folder}/ledger")
 
 
 def read_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/dead_letters")
+
+
+def read_attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """The publish log: a row for each event and attempt of the finished batches."""
+    finished = read_ledger(spark, folder).select("query_id", "batch_id")
+    log = spark.read.parquet(f"{folder}/attempts")
+    return log.join(finished, ["query_id", "batch_id"], "left_semi").select(S.PUBLISH_ATTEMPT.names)
+
+
+def read_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Consumed, rejected, published and failed per query and finished micro-batch."""
+    finished = read_ledger(spark, folder).select("query_id", "batch_id")
+    return spark.read.parquet(f"{folder}/metrics").join(finished, ["query_id", "batch_id"], "left_semi")

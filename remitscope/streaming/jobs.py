@@ -9,13 +9,14 @@ import logging
 from collections.abc import Callable
 from threading import Event
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from remitscope.operators import aggregates, decode
 from remitscope.operators.enrich import enrich
-from remitscope.sinks.publish import BatchPublisher
+from remitscope.sinks.publish import BatchPublisher, read_metrics
 from remitscope.sinks.snapshot import SnapshotWriter
 
 _log = logging.getLogger(__name__)
@@ -23,13 +24,17 @@ _log = logging.getLogger(__name__)
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def decode_counts() -> list[Column]:
+    reason = F.col("reject_reason")
+    return [
+        F.count_if(reason.isNull()).alias("consumed"),
+        F.count_if(reason != "tombstone").alias("rejected"),
+    ]
+
+
 def enriched_events(records: DataFrame) -> DataFrame:
     """Decoded and enriched events. The query reports consumed and rejected records."""
-    decoded = decode.decode(records).observe(
-        "decode",
-        F.count_if(F.col("reject_reason").isNull()).alias("consumed"),
-        F.count_if(F.col("reject_reason") != "tombstone").alias("rejected"),
-    )
+    decoded = decode.decode(records).observe("decode", *decode_counts())
     return enrich(decode.events_only(decoded))
 
 
@@ -39,9 +44,19 @@ def start_publish(
     checkpoint: str,
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
+    """Publishes the events; the publisher keeps consumed and rejected records of each batch too."""
+
+    def publish(decoded: DataFrame, batch_id: int) -> None:
+        decoded = decoded.persist()
+        try:
+            consumed, rejected = decoded.agg(*decode_counts()).first()
+            publisher(enrich(decode.events_only(decoded)), batch_id, consumed, rejected)
+        finally:
+            decoded.unpersist()
+
     return (
-        enriched_events(records)
-        .writeStream.foreachBatch(publisher)
+        decode.decode(records)
+        .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
@@ -79,13 +94,37 @@ def start_quarantine(
     )
 
 
-def reported(query: StreamingQuery) -> dict[str, int]:
-    """Consumed and rejected records over the recent micro-batches of a query."""
-    totals = {"consumed": 0, "rejected": 0}
-    for progress in query.recentProgress:
-        if row := progress.observedMetrics.get("decode"):
-            totals = {name: n + row[name] for name, n in totals.items()}
-    return totals
+def reported(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Totals over all finished micro-batches of a publisher's folder: consumed and rejected
+    records, published events, and attempts that failed, counted per event."""
+    names = ["consumed", "rejected", "published", "publish_failed"]
+    totals = read_metrics(spark, folder).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return totals.first().asDict()
+
+
+def run_once(
+    records: DataFrame, publisher: BatchPublisher, checkpoint: str, trigger: dict = AVAILABLE_NOW
+) -> int:
+    """Publishes what there is and returns the number of events published by this run."""
+    before = _last_batches(records.sparkSession, publisher.folder)
+    query = start_publish(records, publisher, checkpoint, trigger)
+    query.awaitTermination()
+    last = before.get(str(query.id), -1)
+    try:
+        metrics = read_metrics(records.sparkSession, publisher.folder)
+    except AnalysisException:  # nothing was ever published there
+        return 0
+    own = metrics.where((F.col("query_id") == str(query.id)) & (F.col("batch_id") > last))
+    return own.agg(F.coalesce(F.sum("published"), F.lit(0))).first()[0]
+
+
+def _last_batches(spark: SparkSession, folder: str) -> dict[str, int]:
+    """The last finished batch of each query that has published to the folder."""
+    try:
+        rows = read_metrics(spark, folder).groupBy("query_id").agg(F.max("batch_id")).collect()
+    except AnalysisException:
+        return {}
+    return {str(query): batch for query, batch in rows}
 
 
 def run_until(stop: Event, start: Callable[[], StreamingQuery], backoff: float = 0.2) -> None:

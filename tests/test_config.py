@@ -60,7 +60,7 @@ def test_sink_options():
     options = kafka_sink_options(JobParams())
     assert options["topic"] == "payments.enriched"
     assert options["kafka.compression.type"] == "none"
-    assert options["kafka.retries"] == "3"
+    assert options["kafka.retries"] == "0"
     # Kafka demands that the delivery timeout covers a request.
     assert int(options["kafka.delivery.timeout.ms"]) >= int(options["kafka.request.timeout.ms"])
 
