@@ -14,7 +14,7 @@ from remitscope.operators.enrich import enrich
 from remitscope.plans import inputs
 from remitscope.operators import publish_log
 from remitscope.sinks.publish import BatchPublisher, read_attempts, read_dead_letters, read_ledger
-from remitscope.sinks.snapshot import read_snapshot
+from remitscope.sinks.snapshot import SnapshotWriter, read_snapshot
 from remitscope.sources import files
 from remitscope.streaming import jobs
 from remitscope.streaming import rates as stream_rates
@@ -67,6 +67,31 @@ def test_read_model_equals_batch_and_survives_a_restart(spark, topic, good, tmp_
     assert found() == expected
 
 
+def test_snapshots_of_a_new_run_replace_those_of_an_old_one(spark, topic, good, tmp_path):
+    folder = str(tmp_path / "model")
+    partials = aggregates.partial_aggregates(enrich(good))
+    SnapshotWriter(folder)(partials, 1000)
+    SnapshotWriter(folder)(partials.limit(0), 1)
+
+    def total():
+        return read_snapshot(spark, folder).where("dimension = 'total'").first()["n"]
+
+    assert total() == 0
+    held = read_snapshot(spark, folder)
+    writer = SnapshotWriter(folder)
+    for batch_id in range(2, 22):
+        writer(partials, batch_id)
+    assert held.where("dimension = 'total'").first()["n"] == 0
+    assert total() == good.count()
+    SnapshotWriter(folder, keep_seconds=0)(partials, 22)
+    assert len(list((tmp_path / "model" / "snapshots").iterdir())) == 1
+    assert total() == good.count()
+    with pytest.raises(Exception, match="(?i)does not exist|not.?found"):
+        held.collect()
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        read_snapshot(spark, str(tmp_path / "nothing"))
+
+
 def test_empty_topic_publishes_nothing(spark, tmp_path):
     topic = str(tmp_path / "topic")
     inputs.raw_records(spark, SF_DIR).where("false").write.parquet(topic)
