@@ -18,12 +18,12 @@ Credit is counted in integers, so the cuts between partitions and micro-batches
 decision by rounding.
 """
 
+import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 from functools import cached_property
 
-import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -33,16 +33,28 @@ from remitscope.functions.times import epoch_micros
 from remitscope.storage import written
 
 
+FEW_PIECES = 4
+
+
 @dataclass(frozen=True)
 class TokenBucket:
-    """Capacity in tokens and refill rate. The rate is taken as the nearest simple fraction."""
+    """Capacity in tokens and refill rate.
+
+    The rate is taken as the simplest fraction that is the same float, however small it is.
+    """
 
     capacity: int
     refill_per_sec: float
 
     @cached_property
     def _rate(self) -> Fraction:
-        return Fraction(self.refill_per_sec).limit_denominator(1_000_000)
+        exact = Fraction(self.refill_per_sec)
+        digits = 6
+        while (simple := exact.limit_denominator(10**digits)) != exact:
+            if float(simple) == self.refill_per_sec:
+                return simple
+            digits += 1
+        return exact
 
     @cached_property
     def gain(self) -> int:
@@ -87,13 +99,16 @@ class CreditMap:
 
     Kept as pieces (lowest input, highest input, output at the lowest, slope 0 or 1). A refill that
     reaches the capacity flattens the upper pieces, and an event splits them into those that afford
-    a token and those that do not. Pieces that fall in line again are merged: about one per token
-    of capacity remains.
+    a token and those that do not. Pieces that fall in line again are merged: at most about one per
+    token of capacity remains. Once every outcome is below one token, the pieces are set aside as
+    a layer and the map goes on from its outcomes, a range of one token that keeps a few pieces
+    only; so a key that asks for more than its refill soon costs the same whatever the capacity.
     """
 
     def __init__(self, bucket: TokenBucket):
         self.gain, self.token, self.full = bucket.gain, bucket.token, bucket.full
         self.pieces = [(0, bucket.full, 0, 1)]
+        self.layers: list[list[tuple[int, int, int, int]]] = []
 
     def _split_at(self, level: int) -> Iterator[tuple[int, int, int, int]]:
         for low, high, at, slope in self.pieces:
@@ -126,25 +141,32 @@ class CreditMap:
             for low, high, at, slope in self._split_at(token)
         ]
         self._merge()
+        if len(self.pieces) > FEW_PIECES and all(
+            at + slope * (high - low) < token for low, high, at, slope in self.pieces
+        ):
+            self.layers.append(self.pieces)
+            self.pieces = [(0, token - 1, 0, 1)]
 
     def constant(self) -> int | None:
         low, high, at, slope = self.pieces[0]
         return at if len(self.pieces) == 1 and (not slope or low == high) else None
 
 
-def _apply(pieces: Iterable, credit: int) -> int:
-    for low, high, at, slope in pieces:
-        if low <= credit <= high:
-            return at + slope * (credit - low)
-    raise ValueError(f"credit {credit} is outside the bucket")
+def _apply(layers: Iterable[Iterable], credit: int) -> int:
+    for pieces in layers:
+        at = next((p for p in pieces if p[0] <= credit <= p[1]), None)
+        if at is None:
+            raise ValueError(f"credit {credit} is outside the bucket")
+        credit = at[2] + at[3] * (credit - at[0])
+    return credit
 
 
 # Kinds of rows that the first fold gives: a decision, a row that stays open, and the summary of a
-# stretch: its first and last time and its credit map, as packed integers.
+# stretch: its first and last time and its credit map, as text, which holds integers of any size.
 _DECIDED, _OPEN, _SUMMARY = 0, 1, 2
 _FOLDED = (
     "kind tinyint, key string, us bigint, id {id_type}, admitted boolean, block int, "
-    "first_us bigint, pieces binary"
+    "first_us bigint, pieces string"
 )
 
 
@@ -160,9 +182,9 @@ class _PartitionFold:
     def _summarise(self) -> None:
         """Notes how the stretch of the current key ends."""
         if self.unknown is not None:
-            pieces = self.unknown.pieces
+            layers = [*self.unknown.layers, self.unknown.pieces]
         else:
-            pieces = [(0, self.bucket.full, self.state.credit, 0)]
+            layers = [[(0, self.bucket.full, self.state.credit, 0)]]
         self.summaries.append(
             {
                 "kind": _SUMMARY,
@@ -171,7 +193,7 @@ class _PartitionFold:
                 "id": None,
                 "admitted": False,
                 "first_us": self.first_us,
-                "pieces": np.array(pieces, dtype="int64").tobytes(),
+                "pieces": json.dumps(layers),
             }
         )
 
@@ -237,9 +259,8 @@ def _chain(bucket: TokenBucket):
             credit = bucket.full
             if state is not None:
                 credit = min(credit, state.credit + (int(now) - state.last_us) * bucket.gain)
-            credits.append(credit)
-            pieces = np.frombuffer(pieces, dtype="int64").reshape(-1, 4).tolist()
-            state = BucketState(int(end), _apply(pieces, credit))
+            credits.append(str(credit))
+            state = BucketState(int(end), _apply(json.loads(pieces), credit))
         return stretches.assign(credit=credits)[["key", "block", "first_us", "credit"]]
 
     return chain
@@ -274,7 +295,8 @@ def token_bucket_admission(
     """(event_id, key, admitted) for every event, in order of (ts, event_id) within its key.
 
     The first fold is written to the shared folder: its partition boundaries come from a sample,
-    and the three steps that follow must see the same ones.
+    and the three steps that follow must see the same ones. It is laid out by the kind of row, so
+    each step reads its own.
     """
     id_type = events.schema[event_id].dataType.simpleString()
     order = ["key", "us", "id"]
@@ -291,14 +313,14 @@ def token_bucket_admission(
         .sortWithinPartitions(*order)
     )
     schema = _FOLDED.format(id_type=id_type)
-    folded = written(ordered.mapInPandas(_fold_partitions(bucket), schema), "admission")
+    folded = written(ordered.mapInPandas(_fold_partitions(bucket), schema), "admission", "kind")
 
     kind = F.col("kind")
     starts = (
         folded.where(kind == _SUMMARY)
         .select("key", "block", "first_us", "us", "pieces")
         .groupBy("key")
-        .applyInPandas(_chain(bucket), "key string, block int, first_us bigint, credit bigint")
+        .applyInPandas(_chain(bucket), "key string, block int, first_us bigint, credit string")
     )
     reopened = (
         folded.where(kind == _OPEN)

@@ -241,5 +241,20 @@ bucket AS (
          CASE WHEN refilled >= 7200000000 THEN refilled - 7200000000 ELSE refilled END
   FROM (SELECT a.*, least(7200000000, b.credit + a.us - b.us) AS refilled
         FROM arrivals a JOIN bucket b ON a.user_id = b.user_id AND a.rn = b.rn + 1))
+SELECT event_id, user_id, admitted FROM bucket""",
+    "token_bucket_burst": """
+WITH RECURSIVE arrivals AS (
+  SELECT event_id, user_id, epoch_us(ts) AS us,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts
+        FROM events)),
+bucket AS (
+  SELECT event_id, user_id, us, rn, true AS admitted, CAST(4233600000000 AS BIGINT) AS credit
+  FROM arrivals WHERE rn = 1
+  UNION ALL
+  SELECT event_id, user_id, us, rn, refilled >= 86400000000,
+         CASE WHEN refilled >= 86400000000 THEN refilled - 86400000000 ELSE refilled END
+  FROM (SELECT a.*, least(4320000000000, b.credit + a.us - b.us) AS refilled
+        FROM arrivals a JOIN bucket b ON a.user_id = b.user_id AND a.rn = b.rn + 1))
 SELECT event_id, user_id, admitted FROM bucket""",
 }

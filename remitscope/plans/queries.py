@@ -13,6 +13,7 @@ from remitscope.plans import inputs
 
 # Parameters that suit the density of the test tables.
 BUCKET = TokenBucket(capacity=1, refill_per_sec=1 / 7200)
+BURST = TokenBucket(capacity=50, refill_per_sec=1 / 86_400)
 ALERT_THRESHOLD = 0.01
 STALLED_UNTIL = "2024-03-01 00:00:00Z"
 
@@ -204,6 +205,13 @@ def token_bucket(spark, sf_dir):
     return token_bucket_admission(inputs.read_events(spark, sf_dir), BUCKET)
 
 
+def token_bucket_burst(spark, sf_dir):
+    """A larger bucket, with a third of all events on one user who asks for more than the refill."""
+    hot = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    events = inputs.read_events(spark, sf_dir).withColumn("user_id", hot.cast("bigint"))
+    return token_bucket_admission(events, BURST)
+
+
 QUERIES = {
     "enrich_events": enrich_events,
     "ingest_latency": ingest_latency,
@@ -236,4 +244,5 @@ QUERIES = {
     "event_rate_sliding": event_rate_sliding,
     "stalled_intervals": stalled_intervals,
     "token_bucket_admission": token_bucket,
+    "token_bucket_burst": token_bucket_burst,
 }

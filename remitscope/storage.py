@@ -1,5 +1,6 @@
 """Where intermediate results that cut lineage are kept."""
 
+import re
 import tempfile
 import uuid
 
@@ -11,16 +12,18 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="remitscope-")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them from there.
 
-    They survive the loss of executors, and a reader of some rows or columns reads only those.
+    They survive the loss of executors, and a reader of some rows or columns reads only those;
+    ``by`` lays them out by the values of some columns. The tables stay until the folder is
+    cleared, as their readers may still run.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

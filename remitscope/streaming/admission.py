@@ -11,16 +11,20 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from remitscope.functions.times import epoch_micros
 from remitscope.operators.admission import BucketState, TokenBucket
 
-_STATE = "last_us bigint, credit bigint"
+_STATE = "last_us bigint, credit string"  # text holds credit of any size
 
 
 def _admit(bucket: TokenBucket):
     def admit(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState):
         rows = pd.concat(list(batches)).sort_values(["us", "id"])
         times = rows["us"].tolist()
-        state = BucketState(*kept.get) if kept.exists else BucketState(times[0], bucket.full)
+        if kept.exists:
+            last_us, credit = kept.get
+            state = BucketState(last_us, int(credit))
+        else:
+            state = BucketState(times[0], bucket.full)
         rows["admitted"] = state.admit(bucket, times)
-        kept.update((state.last_us, state.credit))
+        kept.update((state.last_us, str(state.credit)))
         yield rows[["id", "key", "admitted"]]
 
     return admit

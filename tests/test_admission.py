@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from remitscope.operators import admission
 from remitscope.operators.admission import (
     BucketState,
     CreditMap,
@@ -76,7 +77,7 @@ def test_credit_map_equals_fold_from_any_start(capacity, rate, gaps, share):
         now += gap if i else 0
         credits.event(gap if i else 0)
         state.admit(bucket, [now])
-    assert _apply(credits.pieces, credit) == state.credit
+    assert _apply([*credits.layers, credits.pieces], credit) == state.credit
     if (constant := credits.constant()) is not None:
         assert constant == state.credit
 
@@ -145,3 +146,36 @@ def test_text_ids(spark):
 
 def test_no_rows(spark):
     assert token_bucket_admission(frame(spark, []), TokenBucket(1, 1.0)).collect() == []
+
+
+@pytest.mark.parametrize("capacity", [1, 3, 40])
+def test_layers_of_the_credit_map_equal_a_fold_from_every_start(capacity):
+    bucket = TokenBucket(capacity, 0.5)
+    draw = random.Random(capacity)
+    gaps = [draw.choice([0, 1, 10, 300_000, 2_000_000, 2_500_000]) for _ in range(400)]
+    mapped = admission.CreditMap(bucket)
+    for gap in gaps:
+        mapped.event(gap)
+    starts = [draw.randrange(bucket.full + 1) for _ in range(200)] + [0, bucket.full]
+    for start in starts:
+        state, now = admission.BucketState(0, start), 0
+        times = [now := now + gap for gap in gaps]
+        state.admit(bucket, times)
+        assert admission._apply([*mapped.layers, mapped.pieces], start) == state.credit
+
+
+def test_an_over_subscribed_key_costs_the_same_at_any_capacity():
+    mapped = admission.CreditMap(TokenBucket(1000, 0.5))
+    for _ in range(2500):
+        mapped.event(900_000)
+    assert len(mapped.pieces) <= admission.FEW_PIECES + 1
+
+
+def test_very_slow_and_very_large_buckets():
+    slow = TokenBucket(1, 1 / (30 * 86_400))
+    state = admission.BucketState(0, slow.full)
+    month = 30 * 86_400 * 1_000_000
+    assert state.admit(slow, [0, month - 1, month]) == [True, False, True]
+    assert TokenBucket(1, 1e-15).gain > 0
+    large = TokenBucket(2**32 - 1, 0.333333)
+    assert large.full == (2**32 - 1) * large.token and large.gain * 3 < large.token
