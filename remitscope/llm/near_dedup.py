@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +20,8 @@ BASE = 1.001
 RATE = 20.0
 MOST_VALUE = 2**16 - 1
 CHUNK_BYTES = 4_000_000
-SMALL_BUCKET = 32
-TILE_ROWS = 256
+SMALL_BUCKET = 16
+TILE_WORDS = 100_000
 GROUP_WORDS = 500_000
 HUB_WORDS = 200_000
 MARGIN = 12.5  # of log-likelihood, five standard errors
@@ -121,13 +122,17 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(joined, "<u2").reshape(-1, REGISTERS)
 
 
+def buckets_of(cells: np.ndarray) -> np.ndarray:
+    """The 64 bits of each band's registers, mixed with the band's number."""
+    number = np.arange(cells.shape[1], dtype=np.uint64) * np.uint64(STEP)
+    return mixed(mixed(cells) + number).view(np.int64)
+
+
 def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket for each band of four registers: their 64 bits, mixed with the band's number."""
+    """A bucket for each band of four registers."""
     for batch in batches:
-        parts = matrix(batch.column(1)).copy().view("<u8")
-        number = np.arange(parts.shape[1], dtype=np.uint64) * np.uint64(STEP)
-        buckets = mixed(mixed(parts) + number).view(np.int64)
-        nodes = np.repeat(batch.column(0).to_numpy(), parts.shape[1])
+        buckets = buckets_of(matrix(batch.column(1)).copy().view("<u8"))
+        nodes = np.repeat(batch.column(0).to_numpy(), buckets.shape[1])
         columns = [pa.array(buckets.ravel()), pa.array(nodes, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["bucket", "node"])
 
@@ -160,6 +165,12 @@ def plausible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, le
     return (top >= least) & (near >= every - MARGIN)
 
 
+def least_equal(least: float) -> float:
+    """Equal registers below which the likelihood of ``least`` need not be looked at: seven
+    standard errors, where five decide."""
+    return REGISTERS * least - 7 * (REGISTERS * least * (1 - least)) ** 0.5
+
+
 def estimator(percent: int):
     """Of rows (a, b, n_a, n_b, registers of both) the pairs that may be similar enough."""
 
@@ -173,25 +184,50 @@ def estimator(percent: int):
     return estimate
 
 
-def tile_pairs(percent: int):
-    """The plausible pairs of a tile: its rows of side 0 against those of side 1, between roots."""
+def is_linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether the full sets, sorted arrays, are similar enough."""
+    if not len(one) or not len(two):
+        return False
+    at = np.minimum(np.searchsorted(one, two), len(one) - 1)
+    both = int((one[at] == two).sum())
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def tile_links(size: int, percent: int):
+    """The links of a tile: its rows of side 0 against those of side 1, between roots.
 
-    def pairs(key: tuple, rows: pa.Table) -> pa.Table:
-        found: list[np.ndarray] = [np.zeros((3, 0), dtype=np.int64)]
-        sides = [rows.filter(pa.compute.equal(rows.column("side"), side)) for side in (0, 1)]
+    A pair is judged in the first bucket alone that it shares. What the likelihood lets through
+    is compared in full here, so that only links leave the task, however many pairs it looks at.
+    """
+
+    def links(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        sides = [rows.filter(pc.equal(rows.column("side"), side)) for side in (0, 1)]
         (one, two) = ({n: t.column(n).to_numpy() for n in ("node", "root", "n")} for t in sides)
         lines = [matrix(t.column("registers")) for t in sides]
+        cells = [x.copy().view("<u8") for x in lines]
+        sets = [shingle_sets(t.column("text").combine_chunks(), size) for t in sides]
+        found = set()
         for i in range(len(one["node"])):
             other = np.flatnonzero(two["root"] != one["root"][i])
+            same = (lines[1][other] == lines[0][i]).sum(axis=1)
+            other = other[same >= least_equal(percent / 100)]
+            if not len(other):
+                continue
+            shared = cells[1][other] == cells[0][i]
+            first = shared.argmax(axis=1)
+            own = buckets_of(cells[0][i][None])[0][first]
+            other = other[shared.any(axis=1) & (own == bucket)]
             a = np.broadcast_to(lines[0][i], (len(other), REGISTERS))
             n_a = np.full(len(other), one["n"][i])
-            other = other[plausible(a, lines[1][other], n_a, two["n"][other], percent / 100)]
-            node = np.full(len(other), one["node"][i])
-            found.append(np.array([node, two["node"][other], two["n"][other]]))
-        columns = np.concatenate(found, axis=1)
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "weight"])
+            fits = plausible(a, lines[1][other], n_a, two["n"][other], percent / 100)
+            for j in other[fits].tolist():
+                if is_linked(sets[0][i], sets[1][j], percent):
+                    found.add((int(one["node"][i]), int(two["node"][j])))
+        columns = list(zip(*sorted(found))) if found else [[], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
 
-    return pairs
+    return links
 
 
 def verifier(size: int, percent: int):
@@ -211,12 +247,7 @@ def verifier(size: int, percent: int):
             if is_hub[i]:
                 continue
             for h in by_hub[hub]:
-                own, other = sets[h], sets[i]
-                if not len(own) or not len(other):
-                    continue
-                at = np.minimum(np.searchsorted(own, other), len(own) - 1)
-                both = int((own[at] == other).sum())
-                if 100 * both >= percent * (len(own) + len(other) - both):
+                if is_linked(sets[h], sets[i], percent):
                     linked.add((hub, keys[i]))
         columns = list(zip(*sorted(linked))) if linked else [[], []]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
@@ -291,25 +322,36 @@ class Search:
             .distinct()
         )
 
-    def rest_pairs(self, members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-        """The plausible pairs of each bucket that are not yet in one component.
+    def rest_links(self, members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+        """The links within each bucket between nodes that are not yet in one component.
 
-        Small buckets are joined with themselves. In a larger one, nodes outside of its
-        largest component meet all others in tiles of a few hundred rows on either side.
+        Small buckets are joined with themselves. In a larger one, nodes outside of its largest
+        component meet all others in tiles of about 100,000 shingles on either side.
         """
         held = members.join(roots.withColumnRenamed("root", "found"), "node", "left").select(
             "bucket", "node", F.coalesce("found", "node").alias("root")
         )
-        by_root = held.groupBy("bucket", "root").count()
+        by_root = (
+            held.join(sets.select("node", "n"), "node")
+            .groupBy("bucket", "root")
+            .agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("words"))
+        )
         open_buckets = written(
             by_root.groupBy("bucket")
             .agg(
                 F.count(F.lit(1)).alias("roots"),
                 F.sum("count").alias("rows"),
-                F.max(F.struct("count", "root")).alias("main"),
+                F.sum("words").alias("words"),
+                F.max(F.struct("words", "root")).alias("main"),
             )
             .filter("roots > 1")
-            .select("bucket", "rows", F.col("main.root").alias("main"), (F.col("rows") - F.col("main.count")).alias("out")),
+            .select(
+                "bucket",
+                "rows",
+                F.col("main.root").alias("main"),
+                F.ceil(F.col("words") / TILE_WORDS).alias("blocks"),
+                F.ceil((F.col("words") - F.col("main.words")) / TILE_WORDS).alias("out_blocks"),
+            ),
             "near-buckets",
         )
         left = written(held.join(open_buckets, "bucket"), "near-members")
@@ -322,28 +364,31 @@ class Search:
             .select("a", "b")
             .distinct()
         )
-        blocks = F.ceil(F.col("rows") / TILE_ROWS)
-        out_blocks = F.ceil(F.col("out") / TILE_ROWS)
-        large = left.filter(F.col("rows") > SMALL_BUCKET).join(sets, "node")
-        columns = ["bucket", "node", "root", "n", "registers"]
+        large = (
+            left.filter(F.col("rows") > SMALL_BUCKET)
+            .join(sets, "node")
+            .join(self.texts.withColumnRenamed("key", "node"), "node")
+        )
+        columns = ["bucket", "node", "root", "n", "registers", "text"]
+        start = F.lit(0).cast("long")
         ones = large.filter("root <> main").select(
             *columns,
             F.lit(0).alias("side"),
-            F.pmod(F.xxhash64("node"), out_blocks).alias("i"),
-            F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("j"),
+            F.pmod(F.xxhash64("node"), "out_blocks").alias("i"),
+            F.explode(F.sequence(start, F.col("blocks") - 1)).alias("j"),
         )
         twos = large.select(
             *columns,
             F.lit(1).alias("side"),
-            F.explode(F.sequence(F.lit(0).cast("long"), out_blocks - 1)).alias("i"),
-            F.pmod(F.xxhash64("node"), blocks).alias("j"),
+            F.explode(F.sequence(start, F.col("out_blocks") - 1)).alias("i"),
+            F.pmod(F.xxhash64("node"), "blocks").alias("j"),
         )
         tiles = (
             ones.unionByName(twos)
             .groupBy("bucket", "i", "j")
-            .applyInArrow(tile_pairs(self.percent), "a long, b long, weight long")
+            .applyInArrow(tile_links(self.size, self.percent), "u long, v long")
         )
-        return self.plausible_pairs(pairs, sets).unionByName(tiles).distinct()
+        return self.verified(self.plausible_pairs(pairs, sets)).unionByName(tiles)
 
 
 def with_key(docs: DataFrame) -> DataFrame:
@@ -420,7 +465,7 @@ def keyed_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     )
     close = search.verified(search.plausible_pairs(search.star_pairs(members), lines))
     roots = components(equal.unionByName(close))
-    more = written(search.verified(search.rest_pairs(members, roots, lines)), "near-edges")
+    more = written(search.rest_links(members, roots, lines), "near-edges")
     if not more.isEmpty():
         roots = components(
             roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more)

@@ -73,7 +73,7 @@ def test_a_large_group_of_near_copies_beside_random_texts(spark):
 def test_large_buckets_meet_in_tiles(spark, monkeypatch):
     """Chains of edits whose ends are far apart, with buckets too large for the plain join."""
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)
-    monkeypatch.setattr(near_dedup, "TILE_ROWS", 3)
+    monkeypatch.setattr(near_dedup, "TILE_WORDS", 300)
     rows = []
     for chain in range(6):
         text = prose(chain, 100)
