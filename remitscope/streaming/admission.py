@@ -11,12 +11,21 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from remitscope.functions.times import epoch_micros
 from remitscope.operators.admission import BucketState, TokenBucket
 
+# Longer than any stream runs: a century.
+NEVER_US = 100 * 366 * 86_400 * 1_000_000
 _STATE = "last_us bigint, credit string"  # text holds credit of any size
 
 
-def _admit(bucket: TokenBucket):
+def _until_full_us(bucket: TokenBucket, state: BucketState) -> int:
+    return -(-(bucket.full - state.credit) // bucket.gain) if bucket.gain else NEVER_US
+
+
+def _admit(bucket: TokenBucket, forgets: str):
     def admit(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState):
-        rows = pd.concat(list(batches)).sort_values(["us", "id"])
+        if kept.hasTimedOut:  # the bucket is full again, which equals having no state
+            kept.remove()
+            return
+        rows = pd.concat([batch[["id", "key", "us"]] for batch in batches]).sort_values(["us", "id"])
         times = rows["us"].tolist()
         if kept.exists:
             last_us, credit = kept.get
@@ -25,6 +34,12 @@ def _admit(bucket: TokenBucket):
             state = BucketState(times[0], bucket.full)
         rows["admitted"] = state.admit(bucket, times)
         kept.update((state.last_us, str(state.credit)))
+        left_ms = min(_until_full_us(bucket, state), NEVER_US) // 1000 + 1
+        if forgets == GroupStateTimeout.ProcessingTimeTimeout:
+            kept.setTimeoutDuration(left_ms)
+        elif forgets == GroupStateTimeout.EventTimeTimeout:
+            full_at = state.last_us // 1000 + left_ms
+            kept.setTimeoutTimestamp(max(full_at, kept.getCurrentWatermarkMs() + 1))
         yield rows[["id", "key", "admitted"]]
 
     return admit
@@ -37,15 +52,27 @@ def token_bucket_admission(
     ts: str = "ts",
     event_id: str = "event_id",
     now: Column | None = None,
+    lateness: str | None = None,
+    forget_idle: bool = False,
 ) -> DataFrame:
     """Like the batch operator, with the state of each key kept between micro-batches.
 
     Events are put in order within a micro-batch; one that arrives in a later batch than its
     successor finds the bucket as that left it. ``now`` replaces event time, as
-    ``current_timestamp()`` does for a limit on the wall clock. A task holds the rows of one key in
-    one micro-batch, which the source's batch size bounds.
+    ``current_timestamp()`` does for a limit on the wall clock. A task holds the id and time of the
+    rows of one key in one micro-batch, which the source's batch size bounds.
+
+    A key's state goes once its bucket is full again: with ``lateness``, when the watermark, that
+    far behind the latest event, has passed the time; with ``now`` and ``forget_idle``, by the
+    clock, which needs a trigger that goes on (a run over what there is would not end).
     """
     moment = F.col(ts) if now is None else now
+    forgets = GroupStateTimeout.NoTimeout
+    if now is not None and forget_idle:
+        forgets = GroupStateTimeout.ProcessingTimeTimeout
+    elif now is None and lateness is not None:
+        forgets = GroupStateTimeout.EventTimeTimeout
+        events = events.withWatermark(ts, lateness)
     output = T.StructType(
         [
             T.StructField("id", events.schema[event_id].dataType),
@@ -58,10 +85,9 @@ def token_bucket_admission(
             F.col(key).alias("key"),
             epoch_micros(moment).alias("us"),
             F.col(event_id).alias("id"),
+            F.col(ts).alias("ts"),  # carries the watermark
         )
         .groupBy("key")
-        .applyInPandasWithState(
-            _admit(bucket), output, _STATE, "append", GroupStateTimeout.NoTimeout
-        )
+        .applyInPandasWithState(_admit(bucket, forgets), output, _STATE, "append", forgets)
         .select(F.col("id").alias(event_id), F.col("key").alias(key), "admitted")
     )

@@ -316,3 +316,25 @@ def test_rate_equals_batch(spark, event_files, tmp_path):
     last = closed.agg(F.max("window_start")).first()[0]
     assert as_rows(closed) == as_rows(expected.where(F.col("window_start") <= F.lit(last)))
     assert expected.count() - closed.count() <= 2
+
+
+def test_state_of_idle_keys_goes_and_a_hot_key_is_as_in_batch(spark, tmp_path):
+    folder = str(tmp_path / "events")
+    start = datetime(2024, 1, 1)
+    days = [[(i, i % 40, start + timedelta(seconds=i)) for i in range(200)]]
+    for day in range(1, 4):
+        days.append([(1000 * day + i, 0, start + timedelta(days=day, seconds=7 * i)) for i in range(90)])
+    for rows in days:
+        part = spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts timestamp")
+        part.coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    bucket = TokenBucket(3, 1 / 60)
+    stream = files.stream_records(spark, folder, 1, schema)
+    admitted = token_bucket_admission(stream, bucket, lateness="1 minute")
+    query = admitted.writeStream.format("memory").queryName("admitted_idle").trigger(availableNow=True)
+    query = finish(query.option("checkpointLocation", str(tmp_path / "c")).start())
+    expected = admission_in_batch(spark.read.parquet(folder), bucket)
+    columns = ["event_id", "user_id", "admitted"]
+    assert as_rows(spark.table("admitted_idle").select(columns)) == as_rows(expected.select(columns))
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(kept) == 40 and kept[-1] <= 1
