@@ -91,18 +91,18 @@ def distinct_documents(docs: DataFrame, keep: str = "largest") -> DataFrame:
     The same content sort as in ``exact_groups``. The first row of each run stays; of a hot text
     the first rows of its pieces, some thousands in all, meet once more.
     """
-    others = [F.col(f"`{name}`") for name in docs.columns]
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in ("doc_id", "text")]
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        "doc_id",
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.struct(*others).alias("row"),
+        F.col("text").isNull().alias("no_text"),
+        (F.struct(*others) if others else F.lit(None).cast("int")).alias("rest"),
     )
     order = F.desc_nulls_last if keep == "largest" else F.asc_nulls_last
     heads = (
         sorted_rows(rows)
         .select(
-            "doc_id",
-            "row",
+            *rows.columns,
             F.col("pieces").isNotNull().alias("hot"),
             F.sha2("text", 256).alias("text_sha256"),
             F.row_number().over(run().orderBy(order("doc_id"))).alias("place"),
@@ -111,4 +111,6 @@ def distinct_documents(docs: DataFrame, keep: str = "largest") -> DataFrame:
     )
     best = Window.partitionBy("text_sha256").orderBy(order("doc_id"))
     joined = heads.filter("hot").withColumn("place", F.row_number().over(best)).filter("place = 1")
-    return heads.filter("NOT hot").select("row.*").unionByName(joined.select("row.*"))
+    own = {"doc_id": F.col("doc_id"), "text": F.when(~F.col("no_text"), F.col("text")).alias("text")}
+    columns = [own.get(name, F.col(f"rest.`{name}`")) for name in docs.columns]
+    return heads.filter("NOT hot").select(columns).unionByName(joined.select(columns))
