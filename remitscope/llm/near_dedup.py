@@ -22,6 +22,9 @@ MOST_VALUE = 2**16 - 1
 CHUNK_BYTES = 4_000_000
 SMALL_BUCKET = 16
 TILE_WORDS = 100_000
+TILE_ROWS = 400
+SHARED_COLUMNS = 8192
+PAIRS_AT_ONCE = 20_000
 GROUP_WORDS = 500_000
 HUB_WORDS = 200_000
 MARGIN = 12.5  # of log-likelihood, five standard errors
@@ -160,8 +163,8 @@ def plausible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, le
         )
 
     top = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
-    every = np.array([log_likelihood(top * x) for x in np.linspace(0, 1, 41)]).max(axis=0)
-    near = np.array([log_likelihood(np.minimum(top, x)) for x in np.linspace(least, 1, 16)]).max(axis=0)
+    every = np.array([log_likelihood(top * x) for x in np.linspace(0, 1, 21)]).max(axis=0)
+    near = np.array([log_likelihood(np.minimum(top, x)) for x in np.linspace(least, 1, 7)]).max(axis=0)
     return (top >= least) & (near >= every - MARGIN)
 
 
@@ -193,6 +196,34 @@ def is_linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(one) + len(two) - both)
 
 
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all sets of one side with all of the other.
+
+    Products of zero-one matrices over the shingles that occur on both sides, some at a time.
+    """
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (one, two)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    total = np.zeros((len(one), len(two)))
+    if not len(shared):
+        return total
+    found = []
+    for values, owner in sides:
+        place = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        known = shared[place] == values
+        place, owner = place[known], owner[known]
+        order = np.argsort(place, kind="stable")
+        found.append((place[order], owner[order]))
+    for at in range(0, len(shared), SHARED_COLUMNS):
+        cells = []
+        for (place, owner), n in zip(found, total.shape):
+            first, last = np.searchsorted(place, [at, at + SHARED_COLUMNS])
+            cell = np.zeros((n, SHARED_COLUMNS), dtype=np.float32)
+            cell[owner[first:last], place[first:last] - at] = 1
+            cells.append(cell)
+        total += cells[0] @ cells[1].T
+    return total
+
+
 def tile_links(size: int, percent: int):
     """The links of a tile: its rows of side 0 against those of side 1, between roots.
 
@@ -201,30 +232,40 @@ def tile_links(size: int, percent: int):
     """
 
     def links(key: tuple, rows: pa.Table) -> pa.Table:
-        bucket = key[0].as_py()
         sides = [rows.filter(pc.equal(rows.column("side"), side)) for side in (0, 1)]
         (one, two) = ({n: t.column(n).to_numpy() for n in ("node", "root", "n")} for t in sides)
         lines = [matrix(t.column("registers")) for t in sides]
-        cells = [x.copy().view("<u8") for x in lines]
-        sets = [shingle_sets(t.column("text").combine_chunks(), size) for t in sides]
-        found = set()
+        buckets = [buckets_of(x.copy().view("<u8")) for x in lines]
+        pairs = [np.zeros((2, 0), dtype=np.int64)]
         for i in range(len(one["node"])):
-            other = np.flatnonzero(two["root"] != one["root"][i])
-            same = (lines[1][other] == lines[0][i]).sum(axis=1)
-            other = other[same >= least_equal(percent / 100)]
-            if not len(other):
-                continue
-            shared = cells[1][other] == cells[0][i]
-            first = shared.argmax(axis=1)
-            own = buckets_of(cells[0][i][None])[0][first]
-            other = other[shared.any(axis=1) & (own == bucket)]
-            a = np.broadcast_to(lines[0][i], (len(other), REGISTERS))
-            n_a = np.full(len(other), one["n"][i])
-            fits = plausible(a, lines[1][other], n_a, two["n"][other], percent / 100)
-            for j in other[fits].tolist():
-                if is_linked(sets[0][i], sets[1][j], percent):
-                    found.add((int(one["node"][i]), int(two["node"][j])))
-        columns = list(zip(*sorted(found))) if found else [[], []]
+            same = (lines[1] == lines[0][i]).sum(axis=1)
+            near = (same >= least_equal(percent / 100)) & (two["root"] != one["root"][i])
+            other = np.flatnonzero(near)
+            shared = buckets[1][other] == buckets[0][i]
+            first = buckets[0][i][shared.argmax(axis=1)]
+            other = other[shared.any(axis=1) & (first == key[0].as_py())]
+            a = np.full(len(other), i)
+            pairs.append(np.array([a, other]))
+        a, b = np.concatenate(pairs, axis=1)
+        keep = np.zeros(len(a), dtype=bool)
+        for at in range(0, len(a), PAIRS_AT_ONCE):
+            x, y = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
+            keep[at : at + PAIRS_AT_ONCE] = plausible(
+                lines[0][x], lines[1][y], one["n"][x], two["n"][y], percent / 100
+            )
+        a, b = a[keep], b[keep]
+        linked = np.zeros(0, dtype=bool)
+        if len(a):
+            (rows_a, at_a), (rows_b, at_b) = (np.unique(x, return_inverse=True) for x in (a, b))
+            sets = [
+                shingle_sets(t.column("text").take(pa.array(own)).combine_chunks(), size)
+                for t, own in zip(sides, (rows_a, rows_b))
+            ]
+            both = overlaps(*sets)[at_a, at_b]
+            sizes = [np.array([len(s) for s in own]) for own in sets]
+            union = sizes[0][at_a] + sizes[1][at_b] - both
+            linked = (both > 0) & (100 * both >= percent * union)
+        columns = [one["node"][a[linked]], two["node"][b[linked]]]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["u", "v"])
 
     return links
@@ -326,15 +367,16 @@ class Search:
         """The links within each bucket between nodes that are not yet in one component.
 
         Small buckets are joined with themselves. In a larger one, nodes outside of its largest
-        component meet all others in tiles of about 100,000 shingles on either side.
+        component meet all others in tiles of about 100,000 shingles, and 400 rows, on either side.
         """
         held = members.join(roots.withColumnRenamed("root", "found"), "node", "left").select(
             "bucket", "node", F.coalesce("found", "node").alias("root")
         )
+        weight = F.greatest("n", F.lit(TILE_WORDS // TILE_ROWS))
         by_root = (
             held.join(sets.select("node", "n"), "node")
             .groupBy("bucket", "root")
-            .agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("words"))
+            .agg(F.count(F.lit(1)).alias("count"), F.sum(weight).alias("words"))
         )
         open_buckets = written(
             by_root.groupBy("bucket")
