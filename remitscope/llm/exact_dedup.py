@@ -47,10 +47,10 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
 
     Sampled splitters deal the texts to ranges, each range is sorted externally, and a window
     compares every text with its neighbour in full. The splitters are of the first 16 characters
-    and a hash, so that what is sampled stays small however long the texts are. A text with more than 1/4096 of all rows (and
-    more than 64) has its copies cut into pieces by id before the sort, so one text cannot fill a
-    range; there are at most 4096 such texts, and their pieces, found by the sort, are joined up by
-    digest afterwards.
+    and a hash, so that what is sampled stays small however long the texts are. A text with more
+    than 1/4096 of all rows (and more than 64) has its copies cut into pieces by id before the sort,
+    so one text cannot fill a range; there are at most 4096 such texts, and their pieces, found by
+    the sort, are joined up by digest afterwards.
 
     ``keep`` is "largest" or "smallest" id. Returns doc_id, keep_id, group_size, kept and
     text_sha256, one row for each input row.

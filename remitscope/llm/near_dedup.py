@@ -462,7 +462,8 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Null and empty texts have no set: 0 shingles, and a component of their own. Rows that share an
     id are one node, and all of them are kept if it is the least. Null ids are nodes by their
-    text; they count as larger than any id, and where a component has no other, one text is kept. Other columns are ignored. An empty table gives no rows.
+    text; they count as larger than any id, and where a component has no other, one text is kept.
+    Other columns are ignored. An empty table gives no rows.
     """
     columns = ["doc_id", "n_shingles", "component_id", "kept"]
     return keyed_groups(docs, size, percent).select(*columns)
