@@ -7,7 +7,6 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from hashlib import blake2b
-from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,7 +37,8 @@ INLINE_ELEMENTS = frozenset(
 )
 
 LEAST_SHARE = 0.01
-CLOSED = "/>"
+LEAST_TEXT_PAGES = 3
+MOST = 2**60
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z!][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
@@ -102,160 +102,234 @@ def closes(stack: list[str], name: str) -> int:
     return depth
 
 
-def tokens(page: str) -> Iterator[str]:
-    """The page's tags, each told apart by the elements around it: the path from the root.
+class Element:
+    """An open element: its path, whether the template has it, what its text is, and that text."""
 
-    A closing tag has the path of the element it closes and a mark; one without an open element
-    is left out, and one that skips elements closes them too.
+    __slots__ = ("label", "name", "path", "anchored", "aside", "main", "article", "seen", "start")
+
+    def __init__(self, label: str, path: str, anchored: bool, aside: bool, main: bool, article: bool):
+        self.label, self.name, self.path, self.anchored = label, label.partition(" ")[0], path, anchored
+        self.aside, self.main, self.article = aside, main, article
+        self.seen: list[str] = []  # its own blocks and the digests of the elements in it
+        self.start = 0
+
+
+def digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def text_mark(path: str, text_digest: str) -> str:
+    return f"#{text_digest}{path}"
+
+
+def walk(page: str, template: set[str]) -> Iterator[tuple[str, Element, str]]:
+    """("open", element, ""), ("text", element, block), ("close", element, "") and ("end", element,
+    digest of all its text, or "" without any) in page order; at last the end of the root.
+
+    A path is that of the labels from the root. An element of the template ends whatever a slot
+    before it left open, so damage in a slot stays there. "close" tells of a closing tag; one
+    without an open element is left out, and one that skips elements ends them too. Text beside the
+    main text is left out.
     """
-    stack: list[str] = []
+    stack = [Element("", "", True, False, False, False)]
+    block: list[str] = []
+    met: set[str] = set()
+
+    def taken() -> Iterator[tuple[str, Element, str]]:
+        text = " ".join(html.unescape("".join(block)).split())
+        block.clear()
+        if text:
+            owner = next(e for e in reversed(stack) if e.name not in INLINE_ELEMENTS)
+            owner.seen.append(text)
+            yield "text", owner, text
+
+    def ended(depth: int) -> Iterator[tuple[str, Element, str]]:
+        while len(stack) > depth:
+            element = stack.pop()
+            found = digest("\n".join(element.seen)) if element.seen else ""
+            if found and stack:
+                owner = next(e for e in reversed(stack) if e.name not in INLINE_ELEMENTS)
+                owner.seen.append(f"\0{found}")
+            yield "end", element, found
+
     for kind, value in events(page):
+        if kind == "text":
+            if not stack[-1].aside:
+                block.append(value)
+            continue
+        name = value.split(" ", 1)[0]
+        if name not in INLINE_ELEMENTS or is_aside(value, stack[-1].article):
+            yield from taken()
+        if kind == "close":
+            depth = closes([e.label for e in stack], name)
+            if depth >= 0:
+                if any(e.aside for e in stack[depth:]):
+                    yield from taken()
+                element = stack[depth]
+                yield from ended(depth)
+                yield "close", element, ""
+            continue
+        yield from ended(closed_by([e.label for e in stack], name))
+        if name in VOID_ELEMENTS:
+            continue
+        anchor = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].anchored)
+        path = inside(stack[anchor].path, value)
+        anchored = path in template and path not in met
+        if anchored:
+            met.add(path)
+            yield from ended(anchor + 1)
+        parent = stack[-1]
+        aside = parent.aside or is_aside(value, parent.article)
+        main = not aside and (parent.main or name in MAIN_ELEMENTS or "role=main" in value)
+        article = parent.article or name == "article"
+        stack.append(Element(value, inside(parent.path, value), anchored, aside, main, article))
+        yield "open", stack[-1], ""
+    yield from taken()
+    yield from ended(0)
+
+
+def inside(path: str, label: str) -> str:
+    return f"{path}/{label}" if path else label
+
+
+def tokens(page: str) -> tuple[Counter, str]:
+    """How often each token occurs, and the digest of the page's text.
+
+    Tokens are the tags (< and > before the path of their element), each told apart by the elements
+    around it, and the text of elements that stand once on the page: all text of the element, and
+    each block of its own. A text counts once.
+    """
+    counts: Counter = Counter()
+    texts: list[tuple[str, str]] = []
+    whole = ""
+    for kind, element, found in walk(page, set()):
         if kind == "open":
-            name = value.split(" ", 1)[0]
-            del stack[closed_by(stack, name) :]
-            yield "/".join([*stack, value])
-            if name not in VOID_ELEMENTS:
-                stack.append(value)
-        elif kind == "close" and (depth := closes(stack, value)) >= 0:
-            yield "/".join(stack[: depth + 1]) + CLOSED
-            del stack[depth:]
+            counts[f"<{element.path}"] += 1
+        elif kind == "close":
+            counts[f">{element.path}"] += 1
+        elif kind == "end" and found:
+            whole = found
+            texts.append((element.path, found))
+            if len(element.seen) > 1:
+                texts += [(element.path, digest(f"\1{t}")) for t in element.seen if t[0] != "\0"]
+    for path, found in texts:
+        if counts.get(f"<{path}") == 1:
+            counts[text_mark(path, found)] = 1
+    return counts, whole
 
 
 def page_marks(page_id: int | None, url: str | None) -> tuple[int, int]:
-    digest = blake2b(f"{page_id} {url}".encode(), digest_size=8).digest()
-    return int.from_bytes(digest[:4], "little") >> 2, int.from_bytes(digest[4:], "little") >> 2
+    mark = blake2b(f"{page_id} {url}".encode(), digest_size=8).digest()
+    return int.from_bytes(mark[:4], "little") >> 2, int.from_bytes(mark[4:], "little") >> 2
 
 
 def host_column(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
-STATS = "host string, token string, pages long, occurrences long, mark_a long, mark_b long"
-STAT_NAMES = ["host", "token", "pages", "occurrences", "mark_a", "mark_b"]
+SUMS = ["pages", "occurrences", "mark_a", "mark_b"]
+STAT_NAMES = ["host", "token", *SUMS, "least", "most"]
+STATS = "host string, token string, " + ", ".join(f"{name} long" for name in STAT_NAMES[2:])
 
 
 def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a batch adds to each token's occurrence vector of its host.
 
     The vector, one count per page, is kept as two sums of counts times a random number of the
-    page: equal vectors have equal sums, and sums of parts add up. The empty token counts pages.
+    page: equal vectors have equal sums, and sums of parts add up. With it go the least and the
+    greatest digest of those pages' texts, which differ unless the pages all read the same.
     """
     for batch in batches:
-        totals: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0] * 4)
+        totals: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0] * 4 + [MOST, 0])
         ids, urls, hosts, pages = (batch.column(i).to_pylist() for i in range(4))
         for page_id, url, host, page in zip(ids, urls, hosts, pages):
             mark_a, mark_b = page_marks(page_id, url)
-            counts = Counter(tokens(page))
-            counts[""] = 1
+            counts, whole = tokens(page)
+            text = int(whole[:15] or "0", 16)
             for token, n in counts.items():
                 total = totals[host, token]
                 for j, x in enumerate((1, n, n * mark_a, n * mark_b)):
                     total[j] += x
+                total[4], total[5] = min(total[4], text), max(total[5], text)
         rows = [(*key, *total) for key, total in totals.items()]
         columns = list(zip(*rows)) if rows else [[]] * len(STAT_NAMES)
-        kinds = [pa.string()] * 2 + [pa.int64()] * 4
+        kinds = [pa.string()] * 2 + [pa.int64()] * 6
         arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
         yield pa.RecordBatch.from_arrays(arrays, names=STAT_NAMES)
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host and template: the paths of the elements of its valid classes.
+    """host and template: the paths of the elements of its valid classes, and their constant texts.
 
     Tokens with equal occurrence vectors over the pages of a host form a class. Valid are classes
     that hold both tags of an element, once on each page that has them, on one page in a hundred at
     least; larger counts mark lists, whose items are data. Paths nest the classes: an element
-    of one lies in a slot of the class that its parents belong to.
+    of one lies in a slot of the class that its parents belong to. A text of such an element is
+    constant if it is of the class of its opening tag, so that it stands word for word wherever the
+    element does, on three pages at least that do not all read the same.
     """
+    given = pages.select("page_id", "url", host_column(F.col("url")).alias("host"), "html")
     stats = (
-        pages.select("page_id", "url", host_column(F.col("url")).alias("host"), "html")
-        .mapInArrow(statistics, STATS)
+        given.mapInArrow(statistics, STATS)
         .groupBy("host", "token")
-        .agg(*[F.sum(name).alias(name) for name in STAT_NAMES[2:]])
+        .agg(
+            *[F.sum(name).alias(name) for name in SUMS],
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
+        )
     )
-    sizes = stats.filter("token = ''").select("host", F.col("pages").alias("host_pages"))
-    element = F.regexp_replace("token", f"{CLOSED}$", "")
+    sizes = given.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    is_text = F.col("token").startswith("#")
+    shown = (F.col("pages") >= LEAST_TEXT_PAGES) & (F.col("least") < F.col("most"))
+    path = F.when(is_text, F.expr("substring(token, 34)")).otherwise(F.expr("substring(token, 2)"))
     return (
-        stats.filter("token <> '' AND occurrences = pages")
-        .groupBy("host", element.alias("path"), "pages", "mark_a", "mark_b")
-        .agg(F.count(F.lit(1)).alias("tags"))
-        .filter("tags = 2")
+        stats.filter((F.col("occurrences") == F.col("pages")) & (~is_text | shown))
+        .groupBy("host", path.alias("path"), "pages", "mark_a", "mark_b")
+        .agg(
+            F.count_if(~is_text).alias("tags"),
+            F.bool_or(F.col("token").startswith("<")).alias("opens"),
+            F.collect_list(F.when(is_text, F.col("token"))).alias("texts"),
+        )
+        .filter("opens AND (tags = 2 OR size(texts) > 0)")
         .join(sizes, "host")
         .filter(F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
         .groupBy("host")
-        .agg(F.sort_array(F.collect_list("path")).alias("template"))
+        .agg(
+            F.collect_list(F.when(F.col("tags") == 2, F.col("path"))).alias("paths"),
+            F.flatten(F.collect_list("texts")).alias("texts"),
+        )
+        .select("host", F.sort_array(F.concat("paths", "texts")).alias("template"))
     )
 
 
-def is_aside(label: str) -> bool:
-    """Whether an element's name, or a word of its class, id or role, marks no main text."""
+def is_aside(label: str, in_article: bool = False) -> bool:
+    """Whether an element's name, or a word of its class, id or role, marks no main text.
+
+    Inside an article only names count: there, a header, a notice or a comment is part of it.
+    """
     name, _, marks = label.partition(" ")
     if name in ASIDE_ELEMENTS:
         return True
-    if name in MAIN_ELEMENTS or name in ("html", "body"):
+    if in_article or not marks or name in MAIN_ELEMENTS or name in ("html", "body"):
         return False
     values = (mark.partition("=")[2] for mark in MARKS.findall(marks))
     return any(word in ASIDE_WORDS for value in values for word in WORD.findall(value))
 
 
-class Open(NamedTuple):
-    """An open element: its label, its path if it is of the template, and what its text is."""
-
-    label: str
-    path: str | None
-    aside: bool
-    main: bool
-
-
-ROOT = Open("", "", False, False)
-
-
 def main_text(page: str, template: set[str]) -> str:
-    """The text of the slots, without those of elements beside the main text.
+    """The text of the slots, without constant text of the template and elements beside the main text.
 
-    Where the page has a main element, only its slots count. An element of the template ends
-    whatever a slot before it left open, so damage in a slot stays there.
+    Where the page has a main element, only its slots count.
     """
-    stack: list[Open] = []
     blocks: list[tuple[str, bool]] = []
-    block: list[str] = []
-    met: set[str] = set()
-
-    def flush() -> None:
-        text = " ".join(html.unescape("".join(block)).split())
-        block.clear()
-        if text:
-            blocks.append((text, bool(stack) and stack[-1].main))
-
-    for kind, value in events(page):
-        if kind == "text":
-            if not (stack and stack[-1].aside):
-                block.append(value)
-            continue
-        name = value.split(" ", 1)[0]
-        if name not in INLINE_ELEMENTS or is_aside(value):
-            flush()
-        if kind == "close":
-            depth = closes([e.label for e in stack], name)
-            if depth >= 0:
-                flush() if any(e.aside for e in stack[depth:]) else None
-                del stack[depth:]
-            continue
-        del stack[closed_by([e.label for e in stack], name) :]
-        if name in VOID_ELEMENTS:
-            continue
-        anchor = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].path is not None), -1)
-        above = stack[anchor].path if anchor >= 0 else ""
-        path: str | None = f"{above}/{value}" if above else value
-        if path in template and path not in met:
-            met.add(path)
-            del stack[anchor + 1 :]
-        else:
-            path = None
-        parent = stack[-1] if stack else ROOT
-        aside = parent.aside or is_aside(value)
-        main = not aside and (parent.main or name in MAIN_ELEMENTS or "role=main" in value)
-        stack.append(Open(value, path, aside, main))
-    flush()
+    for kind, element, found in walk(page, template):
+        if kind == "open":
+            element.start = len(blocks)
+        elif kind == "text":
+            if text_mark(element.path, digest(f"\1{found}")) not in template:
+                blocks.append((found, element.main))
+        elif kind == "end" and found and text_mark(element.path, found) in template:
+            del blocks[element.start :]
     has_main = any(main for _, main in blocks)
     return " ".join(text for text, main in blocks if main or not has_main)
 
@@ -275,9 +349,12 @@ def extract(pages: DataFrame) -> DataFrame:
     Spark then joins each page with that of its host, by broadcast where the table is small.
 
     Character references are decoded, white space within a block becomes one space, and blocks are
-    joined in page order. Set aside are menus, headers, footers, sidebars, notices, adverts, forms,
-    scripts, styles and comments, told by the names of elements and the words of their class, id
-    or role. A null page is empty, and a page without text gives an empty text. A null url belongs
+    joined in page order. Left out is the template's text: elements, and blocks of their own, that
+    stand once on a page and read the same on all pages of the host that have them, three at least
+    of which not all read the same; an item of a list stays, being data. What varies is set aside
+    by help of fixed lists: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+    styles and comments, told by the names of elements and, outside articles, the words of their
+    class, id or role. A null page is empty, and a page without text gives an empty text. A null url belongs
     to the host of the empty name. Repeated rows give equal rows. Other columns are ignored. An
     empty table gives no rows.
     """

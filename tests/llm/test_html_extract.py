@@ -79,3 +79,29 @@ def test_awkward_pages(spark):
     assert texts[8] == "a < b and c > d"
     assert texts[9] == "deep"
     assert html_extract.extract(pages.limit(0)).count() == 0
+
+
+def texts_of(spark, template, n=20):
+    rows = [(i, "http://a.example/x", template.format(i=i)) for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {row.page_id: row.text for row in html_extract.extract(pages).collect()}
+
+
+def test_constant_text_of_elements_with_any_name_is_template(spark):
+    page = (
+        "<body>Welcome all<table><tr><td>Home</td><td>Shop</td></tr></table><div class='c7'>Call us</div>"
+        "<div class='c8'><h2>Story</h2><p>Text {i}</p><p>Same everywhere</p></div><div class='widget'><p>Buy <b>now</b></div>"
+    )
+    assert texts_of(spark, page) == {i: f"Text {i} Same everywhere" for i in range(20)}
+    damaged = "<body><div class='c8'><p>Text {i}</p><div></div><div class='c7'>Call us</div>"
+    assert texts_of(spark, damaged) == {i: f"Text {i}" for i in range(20)}
+
+
+def test_pages_that_all_read_the_same_keep_their_text(spark):
+    page = "<body><div class='c7'>Call us</div><div class='c8'>Story</div>"
+    assert texts_of(spark, page) == {i: "Call us Story" for i in range(20)}
+
+
+def test_words_of_a_class_take_nothing_from_an_article(spark):
+    page = "<body><div class='notice'>Off {i}</div><article><p>One {i}<div class='notice'>Two {i}</div></article>"
+    assert texts_of(spark, page) == {i: f"One {i} Two {i}" for i in range(20)}
