@@ -128,16 +128,15 @@ class WordWeights(dict):
 def document_score(text: str, known: WordWeights, bias: float) -> tuple[float, list[dict]]:
     """The noisy-or over the sentences, and the places of those that are likelier toxic than not.
 
-    Places are positions of characters.
+    A sentence counts by its excess over one without known words, so those add nothing, however
+    many. Places are positions of characters.
     """
     total, suspect, plain = 0.0, False, float(np.logaddexp(0, bias))
     for words in sentences(text):
         if any(map(known.__getitem__, words)):
             z = bias + sum(map(known.__getitem__, set(words)))
-            total += float(np.logaddexp(0, z))
+            total += float(np.logaddexp(0, z)) - plain
             suspect = suspect or z >= 0
-        else:
-            total += plain
     return 1.0 - float(np.exp(-total)), offending(text, known, bias) if suspect else []
 
 

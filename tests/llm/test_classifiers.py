@@ -80,3 +80,16 @@ def test_kept_documents_are_those_that_score_enough(spark, messy):
     assert kept.schema == docs.schema
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in wanted.collect()}
     assert quality.keep_good(messy, model).columns == messy.columns
+
+
+def test_length_alone_makes_no_text_toxic(spark):
+    bad = "Fine words here. You utter villain! More fine words."
+    rows = [(i, bad if i % 3 == 0 else f"Fine words number {i}. More of them here.") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    clean = "Fine words in a long text. More of them here. " * 80_000
+    given = spark.createDataFrame([(1, clean), (2, clean + "You utter villain!")], "doc_id long, text string")
+    found = {row.doc_id: row for row in toxicity.toxicity_scores(given, model).collect()}
+    assert found[1].score < 0.01 and found[1].sentences == []
+    assert found[2].predicted == 1 and len(found[2].sentences) == 1
