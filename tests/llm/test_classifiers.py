@@ -93,3 +93,15 @@ def test_length_alone_makes_no_text_toxic(spark):
     found = {row.doc_id: row for row in toxicity.toxicity_scores(given, model).collect()}
     assert found[1].score < 0.01 and found[1].sentences == []
     assert found[2].predicted == 1 and len(found[2].sentences) == 1
+
+
+def test_a_long_text_is_told_by_its_whole_length(spark):
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    model = quality.train(docs, labels)
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", "quality").orderBy("doc_id").collect()
+    scores = quality.Scores(model)
+    for label in (0, 1):
+        whole = "\n".join(row.text for row in rows if row.quality == label and row.text)[-1_000_000:]
+        difference = quality.features(scores.good, scores.bad, whole.encode())[0]
+        assert difference > 0.05 if label else difference < -0.04
+        assert (scores([whole])[0] >= 0.3) == bool(label)
