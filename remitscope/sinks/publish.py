@@ -43,13 +43,19 @@ def _holds(depth: Column, prefix: Column) -> Column:
     return _prefix(depth) == prefix
 
 
+class SinkDown(RuntimeError):
+    """The sink refuses what it took before; the batch is not finished and has to be replayed."""
+
+
 class BatchPublisher:
     """``foreachBatch`` function that hands each micro-batch of events to ``write``.
 
     A batch is first tried as a whole, with capped exponential backoff. If it stays unpublished,
     it is cut into parts by a hash of its events, again and again where a part fails, so that only
-    the events that fail by themselves go to the dead-letter table. A sink that refuses
-    ``give_up_after`` parts in a row counts as down, and all that is left goes there.
+    the events that fail by themselves, with all retries, go to the dead-letter table. After
+    ``give_up_after`` failed parts in a row, a part that got through before is sent again: if the
+    sink takes it the cutting goes on, and if not the sink is down and the batch raises, to be
+    replayed. Where no part of the batch ever got through, all that is left goes to the dead letters.
 
     Everything is kept by query and batch, the query by the id that its checkpoint holds: a new
     checkpoint publishes anew, and a batch replayed after a crash is published again unless it had
@@ -116,6 +122,7 @@ class _Run:
         self.error: str | None = None
         self.failures = 0  # events times failed attempts
         self.in_a_row = 0
+        self.taken: Part | None = None  # the last part that got through
 
     def rows(self, part: Part) -> DataFrame:
         if not part.depth:
@@ -134,35 +141,49 @@ class _Run:
             _log.warning("part %s failed: %s", part, self.error)
         duration = round((time.monotonic() - clock) * 1000)
         self.attempts.append((part.depth, part.prefix, started, outcome, duration))
-        self.in_a_row = 0 if outcome == S.PUBLISHED else self.in_a_row + 1
+        if outcome == S.PUBLISHED:
+            self.in_a_row, self.taken = 0, part
         if outcome == S.FAILED:
             self.failures += self.rows(part).count()
         return outcome == S.PUBLISHED
 
     def publish(self) -> None:
+        if not self.attempt(Part()) and not self.again(Part()):
+            self.cut(Part())
+
+    def again(self, part: Part) -> bool:
+        """The attempts after a failed one, each after its pause."""
         retry = self.publisher.retry
-        for attempt in range(1, retry.max_attempts + 1):
-            if self.attempt(Part()):
-                return
-            if attempt < retry.max_attempts:
-                self.publisher.sleep(retry.backoff(attempt))
-        self.in_a_row = 0
-        self.cut(Part())
+        for attempt in range(1, retry.max_attempts):
+            self.publisher.sleep(retry.backoff(attempt))
+            if self.attempt(part):
+                return True
+        return False
+
+    def is_down(self) -> bool:
+        """Whether nothing got through so far; raises if what did no longer does."""
+        if self.taken is None:
+            return True
+        if not self.attempt(self.taken) and not self.again(self.taken):
+            raise SinkDown(self.error)
+        return False
 
     def cut(self, part: Part) -> None:
         """Tries the parts of a part that failed; one that cannot be cut has failed for good."""
         is_one = self.rows(part).agg(F.min("_hash") == F.max("_hash")).first()[0]
         if is_one or part.depth == _MOST_DEPTH:
-            self.failed.append(part)
+            if not part.depth or not self.again(part):
+                self.failed.append(part)
             return
         prefixes = self.rows(part).select(_prefix(F.lit(part.depth + 1))).distinct()
         present = {row[0] for row in prefixes.collect()}  # 16 at most
         for child in part.children():
             if child.prefix not in present:
                 continue
-            if self.in_a_row >= self.publisher.give_up_after:
+            if self.in_a_row >= self.publisher.give_up_after and self.is_down():
                 self.failed.append(child)
             elif not self.attempt(child):
+                self.in_a_row += 1
                 self.cut(child)
 
     def dead_letters(self) -> DataFrame:

@@ -191,6 +191,60 @@ def test_one_bad_event_is_the_only_dead_letter(spark, good, tmp_path):
     assert totals["publish_failed"] == failed and totals["published"] == events.count() - 1
 
 
+def distinct_events(good, n):
+    """Events of distinct accounts, and their accounts in the order of the publisher's hash."""
+    events = good.limit(n).withColumn("account", F.concat("account", F.monotonically_increasing_id().cast("string")))
+    events = events.persist()
+    order = F.xxhash64(*events.columns).bitwiseAND(F.lit((1 << 60) - 1))
+    return events, [row["account"] for row in events.orderBy(order).collect()]
+
+
+def test_mostly_bad_events_take_no_healthy_one_to_the_dead_letters(spark, good, tmp_path):
+    events, accounts = distinct_events(good, 12)
+    fine = accounts[::6]
+    sink = Sink(str(tmp_path / "sink"))
+
+    def write(df):
+        if df.where(~F.col("account").isin(fine)).count():
+            raise OSError("bad event")
+        sink(df)
+
+    publisher = BatchPublisher(
+        write, str(tmp_path / "out"), RetryPolicy(max_attempts=1), lambda s: None, give_up_after=3
+    )
+    publisher(events, 0)
+    dead = {r["account"] for r in read_dead_letters(spark, str(tmp_path / "out")).collect()}
+    assert dead == set(accounts) - set(fine)
+    assert {r["account"] for r in spark.read.parquet(sink.folder).collect()} == set(fine)
+
+
+@pytest.mark.parametrize("outage", [1, 10**6])
+def test_an_outage_during_the_cutting_makes_no_dead_letters(spark, good, tmp_path, outage):
+    events, accounts = distinct_events(good, 12)
+    sink, down = Sink(str(tmp_path / "sink")), []
+
+    def write(df):
+        if down and down[0] > 0:
+            down[0] -= 1
+            raise OSError("sink is down")
+        if df.where(F.col("account") == accounts[-1]).count():
+            raise OSError("bad event")
+        sink(df)
+        if not down:
+            down.append(outage)
+
+    publisher = BatchPublisher(
+        write, str(tmp_path / "out"), RetryPolicy(max_attempts=3), lambda s: None, give_up_after=3
+    )
+    if outage > 1:
+        with pytest.raises(RuntimeError, match="sink is down"):
+            publisher(events, 0)
+        down[0] = 0
+    publisher(events, 0)
+    assert [r["account"] for r in read_dead_letters(spark, str(tmp_path / "out")).collect()] == [accounts[-1]]
+    assert spark.read.parquet(sink.folder).select("account").distinct().count() == 11
+
+
 @pytest.mark.parametrize("act", ["asks first", "does nothing"])
 def test_counts_do_not_depend_on_the_writer(spark, good, tmp_path, act):
     publisher = BatchPublisher(lambda df: df.isEmpty() if act == "asks first" else None, str(tmp_path / "out"))
