@@ -113,6 +113,7 @@ class Automaton:
         texts = [words_of(text) for text in [*phrases, *(text for _, text in templates)]]
         self.lengths = [len(words) for words in texts]
         self.n_phrases = len(phrases)
+        self.one_word = 1 in self.lengths[: self.n_phrases]
         self.ids: dict[bytes, int] = {}
         self.length, self.link, self.moves = [0], [-1], [{}]
         self.ends: list[set] = [set()]
@@ -178,7 +179,7 @@ class Automaton:
         breaks = np.flatnonzero(np.diff(inside) > 1)
         firsts, lasts = inside[np.r_[0, breaks + 1]], inside[np.r_[breaks, len(inside) - 1]]
         for first, last in zip(firsts.tolist(), lasts.tolist()):
-            if last > first:
+            if last > first or self.one_word:
                 self.stream(known[first : last + 1].tolist(), first, places, matches)
         return places, matches
 

@@ -63,6 +63,12 @@ def test_matching_statistics_equal_plain_search():
     assert {tuple(m) for m in matches} == wanted
 
 
+def test_phrases_of_one_word_are_found_alone():
+    automaton = licenses.Automaton({"gpl": "gpl", "cc by": "cc-by"}, [("y", "a b c")])
+    places, _ = automaton.scan([b"under", b"gpl", b"or", b"cc", b"by", b"and", b"gpl"])
+    assert places == [(1, 0), (3, 1), (6, 0)]
+
+
 def test_whole_and_damaged_notices_are_spans(spark):
     label, notice = next((label, text) for label, text in licenses.TEMPLATES if len(text.split()) > 60)
     words = notice.split()
