@@ -60,7 +60,8 @@ def token_bucket_admission(
     Events are put in order within a micro-batch; one that arrives in a later batch than its
     successor finds the bucket as that left it. ``now`` replaces event time, as
     ``current_timestamp()`` does for a limit on the wall clock. A task holds the id and time of the
-    rows of one key in one micro-batch, which the source's batch size bounds.
+    rows of one key in one micro-batch, which the source's batch size bounds. With ``lateness``,
+    Spark drops events behind the watermark before they get here: they have no row in the result.
 
     A key's state goes once its bucket is full again: with ``lateness``, when the watermark, that
     far behind the latest event, has passed the time; with ``now`` and ``forget_idle``, by the
