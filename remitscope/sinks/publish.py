@@ -1,219 +1,244 @@
-"""Publishing a micro-batch event by event: retries, dead letters, attempt log, ledger, counters."""
+"""Publishing a micro-batch event by event inside tasks: retries, dead letters, attempt log, ledger."""
 
-import logging
-import time
-from collections.abc import Callable
-from dataclasses import dataclass
+from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import pickle
+import time
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
+from threading import Lock
+from typing import Any
+
+import pyarrow as pa
+from pyspark.errors import PythonException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitscope import schema as S
 from remitscope.config import RetryPolicy
+from remitscope.sinks.port import EventSink, SinkDown, attempt
+from remitscope.storage import files_of, is_whole
 
-_log = logging.getLogger(__name__)
-
-_LEDGER = "attempts int, events bigint, published bigint, dead bigint, error string"
+_LEDGER = "attempts bigint, events bigint, published bigint, dead bigint, error string"
 _METRICS = "consumed bigint, rejected bigint, published bigint, publish_failed bigint"
-_ATTEMPT = "depth int, prefix bigint, started timestamp, outcome string, duration_ms bigint"
-
-# A part that keeps failing is cut into 16 by four bits of a hash, down to 60 bits.
-_BITS = 4
-_MOST_DEPTH = 15
-
-
-@dataclass(frozen=True)
-class Part:
-    """The events of a batch whose hash begins with ``depth`` times four given bits."""
-
-    depth: int = 0
-    prefix: int = 0
-
-    def children(self) -> list["Part"]:
-        return [Part(self.depth + 1, (self.prefix << _BITS) + i) for i in range(1 << _BITS)]
-
-
-def _prefix(depth: Column) -> Column:
-    """The part of an event at a depth: the upper bits of its hash are its way down the parts."""
-    return F.call_function("shiftright", F.col("_hash"), (_MOST_DEPTH - depth) * _BITS)
-
-
-def _holds(depth: Column, prefix: Column) -> Column:
-    return _prefix(depth) == prefix
-
+_ATTEMPTS = "array<struct<ts: timestamp, outcome: string, duration_ms: bigint>>"
+_ATTEMPT_TYPE = pa.struct(
+    [("ts", pa.timestamp("us", tz="UTC")), ("outcome", pa.string()), ("duration_ms", pa.int64())]
+)
+
+Attempts = list[dict[str, Any]]
+
+
+class _Task:
+    """The events of one task on their way to the sink, each with all its own attempts."""
+
+    def __init__(self, sink: EventSink, retry: RetryPolicy, budget: float, give_up_after: int):
+        self.sink, self.retry, self.budget, self.give_up_after = sink, retry, budget, give_up_after
+        self.lock = Lock()
+        self.in_a_row = 0  # events that failed for good since the last one that got through
+        self.taken: dict | None = None  # the last event that got through
+        self.down: Exception | None = None
+
+    def send(self, event: dict[str, Any]) -> tuple[bool, Attempts, str | None]:
+        """Whether the event got through, its attempts, and the last failure."""
+        if self.down is not None:
+            raise self.down
+        published, attempts, error = self._with_retries(event)
+        with self.lock:
+            if published:
+                self.in_a_row, self.taken = 0, event
+            else:
+                self.in_a_row += 1
+                if self.in_a_row % self.give_up_after == 0:
+                    self._ask_sink(error)
+        return published, attempts, error
+
+    def _with_retries(self, event: dict[str, Any]) -> tuple[bool, Attempts, str | None]:
+        attempts, error = [], None
+        for number in range(1, self.retry.max_attempts + 1):
+            began = datetime.now(timezone.utc)
+            failure, seconds = attempt(self.sink, event, self.budget)
+            outcome = S.PUBLISHED
+            if failure is not None:
+                outcome = S.TIMED_OUT if isinstance(failure, TimeoutError) else S.FAILED
+                error = str(failure) or type(failure).__name__
+            attempts.append({"ts": began, "outcome": outcome, "duration_ms": round(seconds * 1000)})
+            if failure is None:
+                return True, attempts, None
+            if number < self.retry.max_attempts:
+                time.sleep(self.retry.backoff(number))
+        return False, attempts, error
+
+    def _ask_sink(self, error: str | None) -> None:
+        """Raises if so many failures mean that the sink is down, rather than that events are bad."""
+        try:
+            try:
+                self.sink.check()
+                return
+            except NotImplementedError:  # the sink cannot tell: what it took before, it should take again
+                if self.taken is None:
+                    raise SinkDown(f"{self.in_a_row} events failed and none got through: {error}") from None
+                published, _, again = self._with_retries(self.taken)
+                if not published:
+                    raise SinkDown(f"refuses an event that it took before: {again}") from None
+        except Exception as failure:
+            self.down = failure if isinstance(failure, SinkDown) else SinkDown(str(failure))
+            raise self.down from failure
+
+
+def _publisher(sink: EventSink, retry: RetryPolicy, budget: float, give_up_after: int):
+    def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = _Task(sink, retry, budget, give_up_after)
+
+        def rows(numbers: list, sent: list, events: pa.Array, message: bytes | None = None) -> pa.RecordBatch:
+            published = [s[0] for s in sent]
+            own = events.take(pa.array([None if p else i for i, p in enumerate(published)], pa.int64()))
+            columns = [
+                pa.array(numbers, pa.int64()),
+                pa.array(published, pa.bool_()),
+                pa.array([s[1] for s in sent], pa.list_(_ATTEMPT_TYPE)),
+                pa.array([s[2] for s in sent], pa.string()),
+                own,
+                pa.nulls(len(numbers), pa.binary()),
+            ]
+            if message is not None:
+                columns = [pa.nulls(1, column.type) for column in columns[:-1]] + [pa.array([message], pa.binary())]
+            names = ["event_no", "published", "attempts", "error", "event", "message"]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        sink.open()
+        try:
+            events = None
+            with ThreadPoolExecutor(max_workers=sink.concurrency) as pool:
+                for batch in batches:
+                    payload = batch.column("payload").to_pylist()
+                    events = batch.column("event")
+                    numbers = batch.column("event_no").to_pylist()
+                    if sink.concurrency == 1:
+                        sent = [task.send(event) for event in payload]
+                    else:
+                        sent = list(pool.map(task.send, payload))
+                    yield rows(numbers, sent, events)
+            message = sink.flush()
+            if message is not None and events is not None:
+                yield rows([], [], events.slice(0, 0), pickle.dumps(message))
+        finally:
+            sink.close()
 
-class SinkDown(RuntimeError):
-    """The sink refuses what it took before; the batch is not finished and has to be replayed."""
+    return publish
 
 
 class BatchPublisher:
-    """``foreachBatch`` function that hands each micro-batch of events to ``write``.
+    """``foreachBatch`` function that publishes each micro-batch of events into a sink.
 
-    A batch is first tried as a whole, with capped exponential backoff. If it stays unpublished,
-    it is cut into parts by a hash of its events, again and again where a part fails, so that only
-    the events that fail by themselves, with all retries, go to the dead-letter table. After
-    ``give_up_after`` failed parts in a row, a part that got through before is sent again: if the
-    sink takes it the cutting goes on, and if not the sink is down and the batch raises, to be
-    replayed. Where no part of the batch ever got through, all that is left goes to the dead letters.
+    All happens in one pass over the batch, inside the tasks: each event gets its own attempts, up to
+    the retry policy's limit and with its pauses, ``sink.concurrency`` of them at a time. An event
+    whose attempts all failed, and no other, goes to the dead letters. After ``give_up_after``
+    events of a task in a row have failed for good, the sink is asked whether it is down, or, where
+    it cannot tell, the last event that it took is sent again; if it is down, or took nothing at all
+    so far, the batch raises :class:`SinkDown`, to be replayed. A batch of which nothing got through
+    asks the sink too. So a sink that cannot tell needs no more than ``give_up_after`` bad events in
+    a row before its first good one.
 
     Everything is kept by query and batch, the query by the id that its checkpoint holds: a new
-    checkpoint publishes anew, and a batch replayed after a crash is published again unless it had
-    been finished. So it is at least once towards the sink, exactly once in ledger, log and counters.
+    checkpoint publishes anew. The outcomes of a batch are a table, a row per event; dead letters and
+    the publish log are read from it. A batch replayed after a crash is published again unless its
+    outcomes were written. So it is at least once towards the sink (exactly once if the sink shows
+    committed batches only), exactly once in ledger, log and counters.
     """
 
     def __init__(
         self,
-        write: Callable[[DataFrame], None],
+        sink: EventSink,
         folder: str,
         retry: RetryPolicy = RetryPolicy(),
-        sleep: Callable[[float], None] = time.sleep,
         sink_key: str = "sink",
         give_up_after: int = 64,
         budget_ms: int = 5_000,
     ):
-        self.write, self.folder, self.retry, self.sleep = write, folder, retry, sleep
+        self.sink, self.folder, self.retry = sink, folder, retry
         self.sink_key, self.give_up_after, self.budget_ms = sink_key, give_up_after, budget_ms
 
-    def __call__(self, batch: DataFrame, batch_id: int, consumed: int | None = None, rejected: int = 0) -> None:
+    def __call__(
+        self,
+        batch: DataFrame,
+        batch_id: int,
+        counts: Callable[[bool], tuple[int, int]] | None = None,
+    ) -> None:
+        """``counts`` gives consumed and rejected records once the batch has been read, or, if told
+        False, where it has not, as an earlier run had read it."""
         spark = batch.sparkSession
-        place = f"query_id={query_id(spark)}/batch_id={batch_id}"
-        if self._is_finished(spark, place):
+        query = query_id(spark)
+        place = f"query_id={query}/batch_id={batch_id}"
+        if is_whole(spark, f"{self.folder}/ledger/{place}"):
             return
-        names = batch.columns
-        numbered = batch.withColumn("_event", F.monotonically_increasing_id())
-        hashed = F.xxhash64(*names).bitwiseAND(F.lit((1 << _BITS * _MOST_DEPTH) - 1))
-        held = numbered.withColumn("_hash", hashed).persist()
+        path = f"{self.folder}/outcomes/{place}"
+        is_new = not is_whole(spark, path)
+        if is_new:
+            self._publish(batch, path, place)
+        found = spark.read.schema(_outcome_schema(batch)).parquet(path)
+        totals = found.where("message IS NULL").agg(
+            F.count(F.lit(1)).alias("events"),
+            F.count_if("published").alias("published"),
+            F.coalesce(F.sum(F.size("attempts")), F.lit(0)).alias("attempts"),
+            F.coalesce(F.sum(F.size(F.filter("attempts", lambda a: a["outcome"] == S.FAILED))), F.lit(0)).alias("failures"),
+            F.max("error").alias("error"),
+        )
+        row = totals.first()
+        if row["events"] and not row["published"]:
+            self._ask_sink(spark, path)
+        messages = [pickle.loads(m[0]) for m in found.select("message").where("message IS NOT NULL").collect()]
+        self.sink.commit(f"{query}-{batch_id}", messages)  # one per task
+        consumed, rejected = (row["events"], 0) if counts is None else counts(is_new)
+        metrics = (consumed, rejected, row["published"], row["failures"])
+        self._row(spark, metrics, _METRICS, f"metrics/{place}")
+        ledger = (row["attempts"], row["events"], row["published"], row["events"] - row["published"], row["error"])
+        self._row(spark, ledger, _LEDGER, f"ledger/{place}")
+
+    def _publish(self, batch: DataFrame, path: str, place: str) -> None:
+        payload = self.sink.payload() or batch.columns
+        given = batch.select(
+            F.xxhash64(F.lit(place), F.monotonically_increasing_id()).alias("event_no"),
+            F.struct(*batch.columns).alias("event"),
+            F.struct(*payload).alias("payload"),
+        )
+        schema = _outcome_schema(batch)
+        publish = _publisher(self.sink, self.retry, self.budget_ms / 1000, self.give_up_after)
+        outcomes = given.mapInArrow(publish, schema).withColumn("sink_key", F.lit(self.sink_key))
         try:
-            run = _Run(self, held, names, spark)
-            events = held.count()
-            if events:
-                run.publish()
-            dead = run.dead_letters()
-            dead.select(names).write.mode("overwrite").parquet(f"{self.folder}/dead_letters/{place}")
-            run.log(f"{place}").write.mode("overwrite").parquet(f"{self.folder}/attempts/{place}")
-            n_dead = dead.count() if run.failed else 0
-            consumed = events if consumed is None else consumed
-            counters = [(consumed, rejected, events - n_dead, run.failures)]
-            self._row(spark, counters, _METRICS, f"metrics/{place}")
-            ledger = [(len(run.attempts), events, events - n_dead, n_dead, run.error)]
-            self._row(spark, ledger, _LEDGER, f"ledger/{place}")
-        finally:
-            held.unpersist()
+            outcomes.write.mode("overwrite").parquet(path)
+        except PythonException as failure:
+            if SinkDown.__name__ in str(failure):
+                raise SinkDown(_last_line(str(failure))) from failure
+            raise
+
+    def _ask_sink(self, spark: SparkSession, path: str) -> None:
+        """Raises if nothing got through because the sink is down; the batch is then as if untried."""
+        try:
+            self.sink.check()
+        except NotImplementedError:
+            return
+        except Exception as failure:
+            _, hadoop_path, files = files_of(spark, path)
+            files.delete(hadoop_path, True)
+            raise SinkDown(str(failure)) from failure
 
-    def _row(self, spark: SparkSession, rows: list[tuple], schema: str, place: str) -> None:
-        frame = spark.createDataFrame(rows, schema).coalesce(1)
+    def _row(self, spark: SparkSession, row: tuple, schema: str, place: str) -> None:
+        frame = spark.createDataFrame([row], schema).coalesce(1)
         frame.write.mode("overwrite").parquet(f"{self.folder}/{place}")
 
-    def _is_finished(self, spark: SparkSession, place: str) -> bool:
-        try:
-            return bool(spark.read.parquet(f"{self.folder}/ledger/{place}").take(1))
-        except AnalysisException:
-            return False
-
-
-class _Run:
-    """The attempts at one batch, and which of its parts failed for good."""
-
-    def __init__(self, publisher: BatchPublisher, held: DataFrame, names: list[str], spark: SparkSession):
-        self.publisher, self.held, self.names, self.spark = publisher, held, names, spark
-        self.attempts: list[tuple] = []
-        self.failed: list[Part] = []
-        self.error: str | None = None
-        self.failures = 0  # events times failed attempts
-        self.in_a_row = 0
-        self.taken: Part | None = None  # the last part that got through
-
-    def rows(self, part: Part) -> DataFrame:
-        if not part.depth:
-            return self.held
-        return self.held.where(_holds(F.lit(part.depth), F.lit(part.prefix)))
-
-    def attempt(self, part: Part) -> bool:
-        started, clock = F.current_timestamp(), time.monotonic()
-        started = self.spark.range(1).select(started).first()[0]
-        try:
-            self.publisher.write(self.rows(part).select(self.names))
-            outcome = S.PUBLISHED
-        except Exception as failure:
-            self.error = str(failure)
-            outcome = S.TIMED_OUT if isinstance(failure, TimeoutError) else S.FAILED
-            _log.warning("part %s failed: %s", part, self.error)
-        duration = round((time.monotonic() - clock) * 1000)
-        self.attempts.append((part.depth, part.prefix, started, outcome, duration))
-        if outcome == S.PUBLISHED:
-            self.in_a_row, self.taken = 0, part
-        if outcome == S.FAILED:
-            self.failures += self.rows(part).count()
-        return outcome == S.PUBLISHED
-
-    def publish(self) -> None:
-        if not self.attempt(Part()) and not self.again(Part()):
-            self.cut(Part())
-
-    def again(self, part: Part) -> bool:
-        """The attempts after a failed one, each after its pause."""
-        retry = self.publisher.retry
-        for attempt in range(1, retry.max_attempts):
-            self.publisher.sleep(retry.backoff(attempt))
-            if self.attempt(part):
-                return True
-        return False
-
-    def is_down(self) -> bool:
-        """Whether nothing got through so far; raises if what did no longer does."""
-        if self.taken is None:
-            return True
-        if not self.attempt(self.taken) and not self.again(self.taken):
-            raise SinkDown(self.error)
-        return False
-
-    def cut(self, part: Part) -> None:
-        """Tries the parts of a part that failed; one that cannot be cut has failed for good."""
-        is_one = self.rows(part).agg(F.min("_hash") == F.max("_hash")).first()[0]
-        if is_one or part.depth == _MOST_DEPTH:
-            if not part.depth or not self.again(part):
-                self.failed.append(part)
-            return
-        prefixes = self.rows(part).select(_prefix(F.lit(part.depth + 1))).distinct()
-        present = {row[0] for row in prefixes.collect()}  # 16 at most
-        for child in part.children():
-            if child.prefix not in present:
-                continue
-            if self.in_a_row >= self.publisher.give_up_after and self.is_down():
-                self.failed.append(child)
-            elif not self.attempt(child):
-                self.in_a_row += 1
-                self.cut(child)
-
-    def dead_letters(self) -> DataFrame:
-        if not self.failed:
-            return self.held.limit(0)
-        held = F.lit(False)
-        for part in self.failed:
-            held = held | _holds(F.lit(part.depth), F.lit(part.prefix)) if part.depth else F.lit(True)
-        return self.held.where(held)
-
-    def log(self, place: str) -> DataFrame:
-        """A row for each event and attempt, as the operators over the publish log take them."""
-        made = self.spark.createDataFrame(self.attempts, _ATTEMPT).withColumn(
-            "order", F.monotonically_increasing_id()
-        )
-        listed = made.agg(F.sort_array(F.collect_list(F.struct("order", *made.columns[:-1]))).alias("all"))
-        own = F.filter("all", lambda a: (a["depth"] == 0) | _holds(a["depth"], a["prefix"]))
-        return (
-            self.held.select("_event", "_hash")
-            .join(F.broadcast(listed))  # one row
-            .select(F.xxhash64(F.lit(place), F.col("_event")).alias("event_id"), F.posexplode(own))
-            .select(
-                "event_id",
-                (F.col("pos") + 1).alias("attempt"),
-                F.lit(self.publisher.sink_key).alias("sink_key"),
-                F.col("col.started").alias("ts"),
-                "col.outcome",
-                "col.duration_ms",
-            )
-        )
+
+def _last_line(text: str) -> str:
+    lines = [line for line in text.splitlines() if SinkDown.__name__ in line]
+    return lines[-1].strip() if lines else text
+
+
+def _outcome_schema(batch: DataFrame) -> T.StructType:
+    event = T.StructType([T.StructField(f.name, f.dataType) for f in batch.schema])
+    outcome = T.StructType.fromDDL(f"event_no bigint, published boolean, attempts {_ATTEMPTS}, error string")
+    return outcome.add("event", event).add("message", T.BinaryType())
 
 
 def query_id(spark: SparkSession) -> str:
@@ -226,18 +251,31 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/ledger")
 
 
+def _finished(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    finished = read_ledger(spark, folder).select("query_id", "batch_id")
+    return rows.join(finished, ["query_id", "batch_id"], "left_semi")
+
+
 def read_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/dead_letters")
+    """The events of finished batches that no attempt got through, with the query and batch."""
+    outcomes = _finished(spark, folder, spark.read.parquet(f"{folder}/outcomes"))
+    return outcomes.where(~F.col("published")).select("event.*", "error", "query_id", "batch_id")
 
 
 def read_attempts(spark: SparkSession, folder: str) -> DataFrame:
     """The publish log: a row for each event and attempt of the finished batches."""
-    finished = read_ledger(spark, folder).select("query_id", "batch_id")
-    log = spark.read.parquet(f"{folder}/attempts")
-    return log.join(finished, ["query_id", "batch_id"], "left_semi").select(S.PUBLISH_ATTEMPT.names)
+    outcomes = spark.read.parquet(f"{folder}/outcomes").where("message IS NULL")
+    log = _finished(spark, folder, outcomes).select("event_no", "sink_key", F.posexplode("attempts"))
+    return log.select(
+        F.col("event_no").alias("event_id"),
+        (F.col("pos") + 1).alias("attempt"),
+        "sink_key",
+        "col.ts",
+        "col.outcome",
+        "col.duration_ms",
+    )
 
 
 def read_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Consumed, rejected, published and failed per query and finished micro-batch."""
-    finished = read_ledger(spark, folder).select("query_id", "batch_id")
-    return spark.read.parquet(f"{folder}/metrics").join(finished, ["query_id", "batch_id"], "left_semi")
+    return _finished(spark, folder, spark.read.parquet(f"{folder}/metrics"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitscope.operators.aggregates import roll_up
 from remitscope.sinks.publish import query_id
+from remitscope.storage import files_of
 
 # A snapshot that is no longer the latest stays this long for those who still read it.
 KEEP_SECONDS = 600
@@ -33,7 +34,7 @@ class SnapshotWriter:
         self._forget(spark, before=f"{now - round(self.keep_seconds * 1e9):020d}", but=name)
 
     def _point_to(self, spark: SparkSession, name: str) -> None:
-        hadoop, path, fs = _files(spark, f"{self.folder}/.current-{uuid.uuid4()}")
+        hadoop, path, fs = files_of(spark, f"{self.folder}/.current-{uuid.uuid4()}")
         out = fs.create(path, True)
         out.write(name.encode())
         out.close()
@@ -44,19 +45,12 @@ class SnapshotWriter:
         hadoop.FileContext.getFileContext(path.toUri(), fs.getConf()).rename(path, target, options)
 
     def _forget(self, spark: SparkSession, before: str, but: str) -> None:
-        _, path, fs = _files(spark, f"{self.folder}/snapshots")
+        _, path, fs = files_of(spark, f"{self.folder}/snapshots")
         for found in fs.listStatus(path):
             if (name := found.getPath().getName()) < before and name != but:
                 fs.delete(found.getPath(), True)
 
 
-def _files(spark: SparkSession, name: str):
-    """Hadoop's file classes, a path and the file system that holds it."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(name)
-    return hadoop, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def read_snapshot(spark: SparkSession, folder: str, tries: int = 3) -> DataFrame:
     """The latest complete snapshot, all rows from one batch.
 

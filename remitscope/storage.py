@@ -27,3 +27,16 @@ def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4()}"
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def files_of(spark: SparkSession, name: str):
+    """Hadoop's file classes, a path and the file system that holds it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(name)
+    return hadoop, path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_whole(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to its end."""
+    _, mark, files = files_of(spark, f"{path}/_SUCCESS")
+    return files.exists(mark)

@@ -1,6 +1,11 @@
-"""Token-bucket admission on a stream."""
+"""Token-bucket admission on a stream.
 
-from collections.abc import Iterator
+:func:`token_bucket_admission` keeps each key's bucket in Spark's state store, so that one task handles
+a key's rows of a micro-batch. :class:`BatchAdmission` splits the rows of a key over tasks, as in batch,
+and keeps the buckets in a table.
+"""
+
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,7 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from remitscope.functions.times import epoch_micros
-from remitscope.operators.admission import BucketState, TokenBucket
+from remitscope.operators.admission import STATES, BucketState, TokenBucket, admission_with_states
+from remitscope.sinks.publish import query_id
+from remitscope.storage import files_of, is_whole
 
 # Longer than any stream runs: a century.
 NEVER_US = 100 * 366 * 86_400 * 1_000_000
@@ -92,3 +99,64 @@ def token_bucket_admission(
         .applyInPandasWithState(_admit(bucket, forgets), output, _STATE, "append", forgets)
         .select(F.col("id").alias(event_id), F.col("key").alias(key), "admitted")
     )
+
+
+def _not_full(bucket: TokenBucket, now_us: int):
+    """Leaves out the states of buckets that are full again, which equals having no state."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            given = zip(rows["last_us"].tolist(), rows["credit"].tolist())
+            held = [int(credit) + max(0, now_us - last) * bucket.gain < bucket.full for last, credit in given]
+            yield rows[pd.Series(held, index=rows.index, dtype=bool)]
+
+    return keep
+
+
+class BatchAdmission:
+    """``foreachBatch`` function that decides on the events of each micro-batch and hands the decisions
+    to ``write(decisions, batch_id)``.
+
+    A micro-batch is folded as the batch operator folds a table: dealt by ranges of key and time, so a
+    key with a third of all rows spreads over tasks, whose folds are composed as functions of the
+    credit before them. The buckets before the batch take part as rows, those after it are written
+    to ``folder``, by query and batch, once the decisions are. A batch replayed after a crash starts
+    from the same buckets and gives the same decisions; one whose buckets were written is skipped.
+
+    An event that comes in a later batch than its successor finds the bucket as that left it. A
+    bucket that is full ``lateness_us`` before the latest event is forgotten. The batch is read
+    three times, so it must give the same rows each time, as Spark's own sources do.
+    """
+
+    def __init__(
+        self,
+        bucket: TokenBucket,
+        write: Callable[[DataFrame, int], None],
+        folder: str,
+        key: str = "user_id",
+        ts: str = "ts",
+        event_id: str = "event_id",
+        lateness_us: int = 0,
+        partitions: int | None = None,
+    ):
+        self.bucket, self.write, self.folder, self.lateness_us = bucket, write, folder, lateness_us
+        self.key, self.ts, self.event_id, self.partitions = key, ts, event_id, partitions
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{self.folder}/query_id={query_id(spark)}"
+        if is_whole(spark, f"{own}/batch_id={batch_id}"):
+            return
+        before = f"{own}/batch_id={batch_id - 1}"
+        if batch_id and not is_whole(spark, before):
+            raise ValueError(f"the buckets before batch {batch_id} are not in {own}")
+        states = spark.read.schema(STATES).parquet(before) if batch_id else None
+        columns = (self.key, self.ts, self.event_id)
+        decisions, after = admission_with_states(batch, self.bucket, states, *columns, self.partitions)
+        self.write(decisions, batch_id)
+        latest = batch.agg(F.max(epoch_micros(F.col(self.ts)))).first()[0]
+        if latest is not None:
+            after = after.mapInPandas(_not_full(self.bucket, latest - self.lateness_us), STATES)
+        after.write.mode("overwrite").parquet(f"{own}/batch_id={batch_id}")
+        _, path, files = files_of(spark, f"{own}/batch_id={batch_id - 2}")
+        files.delete(path, True)

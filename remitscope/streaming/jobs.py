@@ -10,7 +10,7 @@ from collections.abc import Callable
 from threading import Event
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,15 +44,22 @@ def start_publish(
     checkpoint: str,
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Publishes the events; the publisher keeps consumed and rejected records of each batch too."""
+    """Publishes the events; the publisher keeps consumed and rejected records of each batch too.
+
+    They are observed while the events are published. Only where an earlier run had done that,
+    and crashed before it noted the numbers, are the records counted by themselves.
+    """
 
     def publish(decoded: DataFrame, batch_id: int) -> None:
-        decoded = decoded.persist()
-        try:
-            consumed, rejected = decoded.agg(*decode_counts()).first()
-            publisher(enrich(decode.events_only(decoded)), batch_id, consumed, rejected)
-        finally:
-            decoded.unpersist()
+        seen = Observation("decode")
+
+        def counts(was_read: bool) -> tuple[int, int]:
+            if was_read:
+                return seen.get["consumed"], seen.get["rejected"]
+            return tuple(decoded.agg(*decode_counts()).first())
+
+        observed = decoded.observe(seen, *decode_counts())
+        publisher(enrich(decode.events_only(observed)), batch_id, counts)
 
     return (
         decode.decode(records)

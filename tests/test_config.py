@@ -60,7 +60,8 @@ def test_sink_options():
     options = kafka_sink_options(JobParams())
     assert options["topic"] == "payments.enriched"
     assert options["kafka.compression.type"] == "none"
-    assert options["kafka.retries"] == "0"
+    # The producer makes the attempts of the retry policy.
+    assert options["kafka.retries"] == "3" and options["kafka.retry.backoff.ms"] == "50"
     # Kafka demands that the delivery timeout covers a request.
     assert int(options["kafka.delivery.timeout.ms"]) >= int(options["kafka.request.timeout.ms"])
 

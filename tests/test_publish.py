@@ -1,0 +1,324 @@
+"""The publisher: attempts of each event inside tasks, dead letters, a sink that is down, replays."""
+
+import sys
+import threading
+import time
+import types
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from remitscope.config import JobParams, RetryPolicy
+from remitscope.operators import decode, publish_log
+from remitscope.operators.enrich import enrich
+from remitscope.plans import inputs
+from remitscope.sinks import publish
+from remitscope.sinks.kafka import KafkaEventSink
+from remitscope.sinks.port import EventSink, FolderSink, RecordingSink, SinkDown, read_committed
+from remitscope.sinks.publish import BatchPublisher, read_attempts, read_dead_letters, read_ledger, read_metrics
+from remitscope.sources import files
+from remitscope.streaming import jobs
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks cannot import the tests
+
+SF_DIR = "/root/testdata/sf0.001"
+AT_ONCE = RetryPolicy(initial_backoff=0.0)
+EVENT = "n bigint, text string"
+
+
+@pytest.fixture(scope="module")
+def topic(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("topic"))
+    records = inputs.raw_records(spark, SF_DIR)
+    for i in range(4):
+        part = records.where((F.col("offset") >= i * 250) & (F.col("offset") < (i + 1) * 250))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def numbered(spark, n, partitions=4):
+    return spark.range(0, n, 1, partitions).select(F.col("id").alias("n"), F.lit("x").alias("text"))
+
+
+def ledger(spark, folder):
+    columns = ("attempts", "events", "published", "dead")
+    return [tuple(r[c] for c in columns) for r in read_ledger(spark, str(folder)).orderBy("batch_id").collect()]
+
+
+def numbers(df):
+    return sorted(r["n"] for r in df.collect())
+
+
+def never(event, before):
+    return False
+
+
+def bad_thirds(event, before):
+    return event["n"] % 3 == 0
+
+
+def test_each_event_reaches_the_sink(spark, tmp_path):
+    sink = FolderSink(str(tmp_path / "sink"))
+    BatchPublisher(sink, str(tmp_path / "out"))(numbered(spark, 100), 0)
+    assert numbers(read_committed(spark, sink, EVENT)) == list(range(100))
+    assert ledger(spark, tmp_path / "out") == [(100, 100, 100, 0)]
+    assert read_dead_letters(spark, str(tmp_path / "out")).count() == 0
+
+
+def test_bad_events_are_tried_alone_and_take_no_other_along(spark, tmp_path):
+    sink = RecordingSink(str(tmp_path / "sink"), bad_thirds)
+    BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE, sink_key="s1")(numbered(spark, 90), 5)
+    fine = [n for n in range(90) if n % 3]
+    assert numbers(read_committed(spark, sink, EVENT)) == fine
+    dead = read_dead_letters(spark, str(tmp_path / "out"))
+    assert numbers(dead) == [n for n in range(90) if n % 3 == 0]
+    assert {r["error"] for r in dead.collect()} == {"sink refused the event"}
+    log = read_attempts(spark, str(tmp_path / "out"))
+    assert {r["sink_key"] for r in log.select("sink_key").distinct().collect()} == {"s1"}
+    outcomes = publish_log.publish_outcomes(log)
+    rows = outcomes.groupBy("attempts", "published", "exhausted").count().collect()
+    assert {tuple(r) for r in rows} == {(1, True, False, 60), (4, False, True, 30)}
+    assert ledger(spark, tmp_path / "out") == [(60 + 4 * 30, 90, 60, 30)]
+    assert tuple(read_metrics(spark, str(tmp_path / "out")).select("published", "publish_failed").first()) == (60, 120)
+
+
+def test_half_of_twenty_thousand_events_bad_in_one_pass(spark, tmp_path):
+    sink = RecordingSink(str(tmp_path / "sink"), lambda event, before: event["n"] % 2 == 1)
+    retry = RetryPolicy(max_attempts=2, initial_backoff=0.0)
+    began = time.monotonic()
+    BatchPublisher(sink, str(tmp_path / "out"), retry)(numbered(spark, 20_000, 8), 0)
+    assert time.monotonic() - began < 60
+    assert ledger(spark, tmp_path / "out") == [(30_000, 20_000, 10_000, 10_000)]
+    assert numbers(read_dead_letters(spark, str(tmp_path / "out"))) == list(range(1, 20_000, 2))
+
+
+def test_transient_failures_are_retried_with_backoff(spark, tmp_path):
+    retry = RetryPolicy(initial_backoff=0.1)
+    sink = RecordingSink(str(tmp_path / "sink"), lambda event, before: before < 2)
+    BatchPublisher(sink, str(tmp_path / "out"), retry)(numbered(spark, 5, 1), 0)
+    assert ledger(spark, tmp_path / "out") == [(7, 5, 5, 0)]
+    log = read_attempts(spark, str(tmp_path / "out")).orderBy("ts").collect()
+    assert [r["outcome"] for r in log] == ["FAILED", "FAILED", *["PUBLISHED"] * 5]
+    assert [r["attempt"] for r in log] == [1, 2, 3, 1, 1, 1, 1]
+    pauses = [(b["ts"] - a["ts"]).total_seconds() for a, b in zip(log, log[1:])]
+    assert 0.1 <= pauses[0] < 0.3 and 0.2 <= pauses[1] < 0.4
+
+
+def test_a_sink_that_takes_nothing_raises_and_the_replay_publishes_all(spark, tmp_path):
+    down = tmp_path / "down"
+    down.write_text("")
+
+    def fails(event, before):
+        import os
+
+        return os.path.exists(str(down))
+
+    publisher = BatchPublisher(
+        RecordingSink(str(tmp_path / "sink"), fails), str(tmp_path / "out"), AT_ONCE, give_up_after=6
+    )
+    with pytest.raises(SinkDown, match="none got through"):
+        publisher(numbered(spark, 40, 2), 0)
+    assert not (tmp_path / "out" / "ledger").exists()
+    down.unlink()
+    publisher(numbered(spark, 40, 2), 0)
+    assert ledger(spark, tmp_path / "out") == [(40, 40, 40, 0)]
+    assert numbers(read_committed(spark, publisher.sink, EVENT)) == list(range(40))
+
+
+def test_a_sink_that_goes_down_in_between_raises(spark, tmp_path):
+    def fails(event, before):
+        return before >= 10
+
+    publisher = BatchPublisher(
+        RecordingSink(str(tmp_path / "sink"), fails), str(tmp_path / "out"), AT_ONCE, give_up_after=3
+    )
+    with pytest.raises(SinkDown, match="took before"):
+        publisher(numbered(spark, 40, 1), 0)
+    publisher.sink.fails = never
+    publisher(numbered(spark, 40, 1), 0)
+    assert numbers(read_committed(spark, publisher.sink, EVENT)) == list(range(40))
+
+
+def test_many_bad_events_in_a_row_are_no_outage(spark, tmp_path):
+    """The sink takes again what it took before, so the events are to blame."""
+    sink = RecordingSink(str(tmp_path / "sink"), lambda event, before: event["n"] >= 5)
+    publisher = BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE, give_up_after=3)
+    publisher(numbered(spark, 40, 1), 0)
+    assert ledger(spark, tmp_path / "out")[0][1:] == (40, 5, 35)
+
+
+class Telling(RecordingSink):
+    """Can tell whether it is up: it is, unless a file says otherwise."""
+
+    def __init__(self, folder, fails, down):
+        super().__init__(folder, fails)
+        self.down = down
+
+    def check(self):
+        import os
+
+        if os.path.exists(self.down):
+            raise OSError("no answer")
+
+
+def test_a_sink_that_can_tell_is_asked(spark, tmp_path):
+    down = str(tmp_path / "down")
+    sink = Telling(str(tmp_path / "sink"), lambda event, before: True, down)
+    publisher = BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE, give_up_after=3)
+    publisher(numbered(spark, 20, 1), 0)  # it is up, so all events are bad
+    assert ledger(spark, tmp_path / "out") == [(80, 20, 0, 20)]
+    open(down, "w").close()
+    for n in (2, 20):  # also a batch of fewer events than are asked after
+        with pytest.raises(SinkDown, match="no answer"):
+            publisher(numbered(spark, n, 1), 1)
+    sink.fails = never
+    publisher(numbered(spark, 20, 1), 1)
+    assert ledger(spark, tmp_path / "out")[1] == (20, 20, 20, 0)
+
+
+class Slow(EventSink):
+    """Takes a while for each event, and notes how many it handles at a time."""
+
+    concurrency = 32
+
+    def open(self):
+        self.lock, self.now, self.most = threading.Lock(), 0, 0
+
+    def publish(self, event, timeout):
+        with self.lock:
+            self.now += 1
+            self.most = max(self.most, self.now)
+        time.sleep(0.02)
+        with self.lock:
+            self.now -= 1
+        if event["n"] == 7:
+            time.sleep(0.2)
+        if event["n"] == 8:
+            raise TimeoutError
+
+    def flush(self):
+        return self.most
+
+    def commit(self, batch, messages):
+        self.committed = (batch, messages)
+
+
+def test_a_bounded_number_of_events_is_under_way_at_a_time(spark, tmp_path):
+    sink = Slow()
+    publisher = BatchPublisher(sink, str(tmp_path / "out"), RetryPolicy(max_attempts=2, initial_backoff=0), budget_ms=150)
+    publisher(numbered(spark, 400, 1), 3)
+    batch, messages = sink.committed
+    assert batch.endswith("-3") and 8 < max(messages) <= 32
+    log = read_attempts(spark, str(tmp_path / "out"))
+    late = log.where("outcome = 'TIMED_OUT'").groupBy("event_id").count().collect()
+    assert sorted(r["count"] for r in late) == [2, 2]
+    # An attempt past its time is no failure that the sink reported.
+    assert read_metrics(spark, str(tmp_path / "out")).first()["publish_failed"] == 0
+    assert numbers(read_dead_letters(spark, str(tmp_path / "out"))) == [7, 8]
+
+
+def test_an_interrupted_batch_is_not_published_twice(spark, tmp_path, monkeypatch):
+    """Outcomes that were written to their end stand; what follows is done again."""
+    sink = RecordingSink(str(tmp_path / "sink"), bad_thirds)
+    publisher = BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE)
+    row = publisher._row
+    monkeypatch.setattr(publisher, "_row", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publisher(numbered(spark, 30), 0)
+    monkeypatch.setattr(publisher, "_row", row)
+    monkeypatch.setattr(publisher, "_publish", lambda *a: 1 / 0)
+    seen = []
+    publisher(numbered(spark, 30), 0, lambda was_read: seen.append(was_read) or (33, 3))
+    publisher(numbered(spark, 30), 0)  # finished: nothing is done
+    assert seen == [False] and ledger(spark, tmp_path / "out") == [(20 + 40, 30, 20, 10)]
+    assert numbers(read_committed(spark, sink, EVENT)) == [n for n in range(30) if n % 3]
+    assert tuple(read_metrics(spark, str(tmp_path / "out")).select("consumed", "rejected").first()) == (33, 3)
+
+
+def test_other_errors_of_the_batch_are_raised_as_they_are(spark, tmp_path):
+    publisher = BatchPublisher(FolderSink(str(tmp_path / "sink")), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        publisher(numbered(spark, 4).withColumn("n", F.col("n") / F.lit(0)), 0)
+
+
+def test_no_events(spark, tmp_path):
+    sink = FolderSink(str(tmp_path / "sink"))
+    BatchPublisher(sink, str(tmp_path / "out"))(numbered(spark, 4).limit(0), 0)
+    assert ledger(spark, tmp_path / "out") == [(0, 0, 0, 0)]
+    assert read_committed(spark, sink, EVENT).count() == 0
+
+
+def test_a_stream_of_records(spark, topic, tmp_path):
+    good = decode.events_only(decode.decode(files.read_records(spark, topic)))
+    sink = RecordingSink(str(tmp_path / "sink"), lambda event, before: event["amount"]["minor_units"] % 7 == 0)
+    publisher = BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE)
+    published = jobs.run_once(files.stream_records(spark, topic, max_files=1), publisher, str(tmp_path / "c"))
+    dead = good.where("amount.minor_units % 7 = 0").count()
+    assert 0 < dead < 720 and published == 720 - dead
+    assert len(ledger(spark, tmp_path / "out")) == 4
+    totals = jobs.reported(spark, str(tmp_path / "out"))
+    assert totals == {"consumed": 720, "rejected": 260, "published": 720 - dead, "publish_failed": 4 * dead}
+    columns = "payment_id string, status string, risk_score int, amount struct<minor_units: bigint>"
+    found = read_committed(spark, sink, columns)
+    fine = enrich(good).where("amount.minor_units % 7 <> 0").select("payment_id", "status", "risk_score")
+    assert sorted(map(tuple, found.select(fine.columns).collect())) == sorted(map(tuple, fine.collect()))
+
+
+def test_an_empty_topic_publishes_nothing(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    inputs.raw_records(spark, SF_DIR).where("false").write.parquet(topic)
+    sink = FolderSink(str(tmp_path / "sink"))
+    publisher = BatchPublisher(sink, str(tmp_path / "out"))
+    assert jobs.run_once(files.stream_records(spark, topic), publisher, str(tmp_path / "c")) == 0
+    assert read_committed(spark, sink, "n int").count() == 0
+
+
+class Producer:
+    """Stands in for the client: answers from ``poll``, refuses some records, forgets others."""
+
+    made: list = []
+
+    def __init__(self, settings):
+        self.settings, self.waiting, self.sent = settings, [], []
+        Producer.made.append(self)
+
+    def produce(self, topic, key, value, on_delivery):
+        self.waiting.append((topic, key, value, on_delivery))
+
+    def poll(self, timeout):
+        while self.waiting:
+            topic, key, value, on_delivery = self.waiting.pop()
+            if value != "lost":
+                self.sent.append((topic, key, value))
+                on_delivery("refused" if value == "bad" else None, None)
+        time.sleep(0.001)
+
+    def flush(self, timeout):
+        self.poll(timeout)
+
+    def list_topics(self, topic, timeout):
+        if self.settings["bootstrap.servers"] == "nowhere:1":
+            raise OSError("no broker")
+
+
+def test_the_kafka_sink_sends_key_and_value_once_per_attempt(spark, monkeypatch):
+    monkeypatch.setitem(sys.modules, "confluent_kafka", types.SimpleNamespace(Producer=Producer))
+    sink = KafkaEventSink(JobParams())
+    columns = spark.createDataFrame(
+        [("550e8400-e29b-41d4-a716-446655440000",)], "payment_id string"
+    ).select(sink.payload()[0])
+    assert columns.first()["key"] == bytes.fromhex("550e8400e29b41d4a716446655440000")
+    sink.open()
+    sink.publish({"key": b"k", "value": "v"}, 1)
+    assert Producer.made[-1].sent == [("payments.enriched", b"k", "v")]
+    assert Producer.made[-1].settings["message.send.max.retries"] == 0
+    with pytest.raises(OSError, match="refused"):
+        sink.publish({"key": b"k", "value": "bad"}, 1)
+    with pytest.raises(TimeoutError):
+        sink.publish({"key": b"k", "value": "lost"}, 0.05)
+    sink.check()
+    sink.close()
+    with pytest.raises(OSError, match="no broker"):
+        KafkaEventSink(JobParams(brokers=("nowhere:1",))).check()
+    assert publish.query_id(spark) == "none"

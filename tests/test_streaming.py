@@ -6,14 +6,13 @@ from threading import Event, Thread
 import pytest
 from pyspark.sql import functions as F
 
-from remitscope.config import RetryPolicy
 from remitscope.operators import aggregates, decode, rates
 from remitscope.operators.admission import TokenBucket
 from remitscope.operators.admission import token_bucket_admission as admission_in_batch
 from remitscope.operators.enrich import enrich
 from remitscope.plans import inputs
-from remitscope.operators import publish_log
-from remitscope.sinks.publish import BatchPublisher, read_attempts, read_dead_letters, read_ledger
+from remitscope.sinks.port import FolderSink, read_committed
+from remitscope.sinks.publish import BatchPublisher, read_ledger
 from remitscope.sinks.snapshot import SnapshotWriter, read_snapshot
 from remitscope.sources import files
 from remitscope.streaming import jobs
@@ -92,172 +91,26 @@ def test_snapshots_of_a_new_run_replace_those_of_an_old_one(spark, topic, good,
         read_snapshot(spark, str(tmp_path / "nothing"))
 
 
-def test_empty_topic_publishes_nothing(spark, tmp_path):
-    topic = str(tmp_path / "topic")
-    inputs.raw_records(spark, SF_DIR).where("false").write.parquet(topic)
-    calls = []
-    publisher = BatchPublisher(lambda df: calls.append(df.count()), str(tmp_path / "out"))
-    finish(jobs.start_publish(files.stream_records(spark, topic), publisher, str(tmp_path / "c")))
-    assert sum(calls) == 0
-
-
-class Sink:
-    """Writes batches to a folder; the first ``failures`` calls fail."""
-
-    def __init__(self, folder, failures=0):
-        self.folder, self.failures, self.calls = folder, failures, 0
-
-    def __call__(self, df):
-        self.calls += 1
-        if self.calls <= self.failures:
-            raise OSError(f"sink is down, call {self.calls}")
-        df.write.mode("append").parquet(self.folder)
-
-
-def publish(spark, topic, tmp_path, sink, retry=RetryPolicy(), max_files=1):
-    pauses = []
-    publisher = BatchPublisher(sink, str(tmp_path / "out"), retry, pauses.append)
-    stream = files.stream_records(spark, topic, max_files=max_files)
-    finish(jobs.start_publish(stream, publisher, str(tmp_path / "checkpoint")))
-    return pauses
-
-
-def test_publish_reaches_the_sink_once(spark, topic, good, tmp_path):
-    sink = Sink(str(tmp_path / "sink"))
-    assert publish(spark, topic, tmp_path, sink) == []
-    written = spark.read.parquet(sink.folder)
-    names = ["payment_id", "direction", "account", "status", "occurred_at", "risk_score"]
-    assert as_rows(written.select(names)) == as_rows(enrich(good).select(names))
-    ledger = read_ledger(spark, str(tmp_path / "out"))
-    total = ledger.agg(F.count("*"), F.sum("published"), F.sum("attempts")).first()
-    assert tuple(total) == (4, 720, 4)
-    # One processing time per micro-batch.
-    assert written.select("processed_at").distinct().count() == 4
-
-
-def test_transient_failures_are_retried_with_backoff(spark, topic, tmp_path):
-    sink = Sink(str(tmp_path / "sink"), failures=2)
-    pauses = publish(spark, topic, tmp_path, sink, max_files=10)
-    assert (sink.calls, pauses) == (3, [0.05, 0.1])
-    assert tuple(read_ledger(spark, str(tmp_path / "out")).first())[:4] == (3, 720, 720, 0)
-
-
-def test_a_sink_that_is_down_sends_the_batch_to_dead_letters(spark, topic, good, tmp_path):
-    down = Sink(str(tmp_path / "sink"), failures=10**6)
-    publisher = BatchPublisher(down, str(tmp_path / "out"), RetryPolicy(max_attempts=3), lambda s: None, give_up_after=5)
-    publisher(good, 0)
-    down.failures = 0
-    publisher(good, 1)
-    rows = read_ledger(spark, str(tmp_path / "out")).orderBy("batch_id").collect()
-    assert [(r["events"], r["published"], r["dead"]) for r in rows] == [(720, 0, 720), (720, 720, 0)]
-    assert rows[0]["attempts"] < 20 and "sink is down" in rows[0]["error"]
-    assert as_rows(read_dead_letters(spark, str(tmp_path / "out")).select(good.columns)) == as_rows(good)
-
-
 def test_a_new_checkpoint_on_an_old_folder_publishes_again(spark, topic, tmp_path):
     for run in ("first", "second"):
-        sink = Sink(str(tmp_path / run))
-        publisher = BatchPublisher(sink, str(tmp_path / "out"), sleep=lambda s: None)
+        sink = FolderSink(str(tmp_path / run))
+        publisher = BatchPublisher(sink, str(tmp_path / "out"))
         stream = files.stream_records(spark, topic, max_files=1)
         assert jobs.run_once(stream, publisher, str(tmp_path / f"checkpoint-{run}")) == 720
-        assert spark.read.parquet(sink.folder).count() == 720
+        assert read_committed(spark, sink, "payment_id string").count() == 720
         assert jobs.run_once(stream, publisher, str(tmp_path / f"checkpoint-{run}")) == 0
     ledger = read_ledger(spark, str(tmp_path / "out"))
     assert ledger.select("query_id").distinct().count() == 2
 
 
-def test_one_bad_event_is_the_only_dead_letter(spark, good, tmp_path):
-    events = good.limit(1000).union(good.limit(280)).withColumn("n", F.monotonically_increasing_id())
-    events = events.withColumn("account", F.concat("account", F.col("n").cast("string"))).drop("n")
-    events = events.limit(1000).persist()
-    bad = events.first()["account"]
-    sink = Sink(str(tmp_path / "sink"))
-
-    def write(df):
-        if df.where(F.col("account") == bad).count():
-            raise OSError("bad event")
-        sink(df)
-
-    publisher = BatchPublisher(write, str(tmp_path / "out"), RetryPolicy(max_attempts=2), lambda s: None)
-    publisher(events, 0)
-    assert [r["account"] for r in read_dead_letters(spark, str(tmp_path / "out")).collect()] == [bad]
-    assert spark.read.parquet(sink.folder).count() == events.count() - 1
-    outcomes = publish_log.publish_outcomes(read_attempts(spark, str(tmp_path / "out")))
-    row = read_ledger(spark, str(tmp_path / "out")).first()
-    assert outcomes.where("published").count() == row["published"] == events.count() - 1
-    assert outcomes.count() == row["events"]
-    totals = jobs.reported(spark, str(tmp_path / "out"))
-    failed = read_attempts(spark, str(tmp_path / "out")).where("outcome = 'FAILED'").count()
-    assert totals["publish_failed"] == failed and totals["published"] == events.count() - 1
-
-
-def distinct_events(good, n):
-    """Events of distinct accounts, and their accounts in the order of the publisher's hash."""
-    events = good.limit(n).withColumn("account", F.concat("account", F.monotonically_increasing_id().cast("string")))
-    events = events.persist()
-    order = F.xxhash64(*events.columns).bitwiseAND(F.lit((1 << 60) - 1))
-    return events, [row["account"] for row in events.orderBy(order).collect()]
-
-
-def test_mostly_bad_events_take_no_healthy_one_to_the_dead_letters(spark, good, tmp_path):
-    events, accounts = distinct_events(good, 12)
-    fine = accounts[::6]
-    sink = Sink(str(tmp_path / "sink"))
-
-    def write(df):
-        if df.where(~F.col("account").isin(fine)).count():
-            raise OSError("bad event")
-        sink(df)
-
-    publisher = BatchPublisher(
-        write, str(tmp_path / "out"), RetryPolicy(max_attempts=1), lambda s: None, give_up_after=3
-    )
-    publisher(events, 0)
-    dead = {r["account"] for r in read_dead_letters(spark, str(tmp_path / "out")).collect()}
-    assert dead == set(accounts) - set(fine)
-    assert {r["account"] for r in spark.read.parquet(sink.folder).collect()} == set(fine)
-
-
-@pytest.mark.parametrize("outage", [1, 10**6])
-def test_an_outage_during_the_cutting_makes_no_dead_letters(spark, good, tmp_path, outage):
-    events, accounts = distinct_events(good, 12)
-    sink, down = Sink(str(tmp_path / "sink")), []
-
-    def write(df):
-        if down and down[0] > 0:
-            down[0] -= 1
-            raise OSError("sink is down")
-        if df.where(F.col("account") == accounts[-1]).count():
-            raise OSError("bad event")
-        sink(df)
-        if not down:
-            down.append(outage)
-
-    publisher = BatchPublisher(
-        write, str(tmp_path / "out"), RetryPolicy(max_attempts=3), lambda s: None, give_up_after=3
-    )
-    if outage > 1:
-        with pytest.raises(RuntimeError, match="sink is down"):
-            publisher(events, 0)
-        down[0] = 0
-    publisher(events, 0)
-    assert [r["account"] for r in read_dead_letters(spark, str(tmp_path / "out")).collect()] == [accounts[-1]]
-    assert spark.read.parquet(sink.folder).select("account").distinct().count() == 11
-
-
-@pytest.mark.parametrize("act", ["asks first", "does nothing"])
-def test_counts_do_not_depend_on_the_writer(spark, good, tmp_path, act):
-    publisher = BatchPublisher(lambda df: df.isEmpty() if act == "asks first" else None, str(tmp_path / "out"))
-    publisher(good, 3)
-    assert read_ledger(spark, str(tmp_path / "out")).first()["published"] == 720
-
-
 def test_totals_cover_more_batches_than_spark_keeps_progress_for(spark, topic, tmp_path):
     kept = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(kept)
     spark.conf.set(kept, "2")
     try:
-        publish(spark, topic, tmp_path, Sink(str(tmp_path / "sink")))
+        publisher = BatchPublisher(FolderSink(str(tmp_path / "sink")), str(tmp_path / "out"))
+        stream = files.stream_records(spark, topic, max_files=1)
+        finish(jobs.start_publish(stream, publisher, str(tmp_path / "checkpoint")))
     finally:
         spark.conf.set(kept, before)
     assert jobs.reported(spark, str(tmp_path / "out")) == {
@@ -268,14 +121,6 @@ def test_totals_cover_more_batches_than_spark_keeps_progress_for(spark, topic, t
     }
 
 
-def test_finished_batch_is_not_published_again(spark, good, tmp_path):
-    sink = Sink(str(tmp_path / "sink"))
-    publisher = BatchPublisher(sink, str(tmp_path / "out"))
-    publisher(good, 7)
-    publisher(good, 7)
-    assert sink.calls == 1
-
-
 def test_quarantine(spark, topic, tmp_path):
     folder = str(tmp_path / "quarantine")
     stream = files.stream_records(spark, topic)
@@ -289,7 +134,7 @@ def test_quarantine(spark, topic, tmp_path):
 
 def test_failed_query_starts_again_until_stopped(spark, topic, tmp_path):
     stop, starts = Event(), []
-    sink = Sink(str(tmp_path / "sink"))
+    sink = FolderSink(str(tmp_path / "sink"))
 
     def start():
         starts.append(1)
@@ -309,7 +154,7 @@ def test_failed_query_starts_again_until_stopped(spark, topic, tmp_path):
     stop.set()
     runner.join(timeout=60)
     assert not runner.is_alive()
-    assert len(starts) == 2 and sink.calls == 2
+    assert len(starts) == 2 and read_committed(spark, sink, "payment_id string").count() == 720
 
 
 def test_json_lines_reach_the_decoder(spark, tmp_path):
