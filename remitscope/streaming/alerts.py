@@ -198,9 +198,9 @@ _STALLS = "state string, last_ts timestamp, next_ts timestamp, silent_ms bigint"
 
 
 def _stall(state: str, last_us: int, next_us: int | None, silent_ms: int) -> pd.DataFrame:
-    next_ts = pd.NaT if next_us is None else _moment(next_us)
-    row = {"state": [state], "last_ts": [_moment(last_us)], "next_ts": [next_ts], "silent_ms": [silent_ms]}
-    return pd.DataFrame(row).astype({"next_ts": "datetime64[us, UTC]", "last_ts": "datetime64[us, UTC]"})
+    times = [None if us is None else _moment(us) for us in (last_us, next_us)]
+    last_ts, next_ts = (pd.Series(pd.to_datetime([t], utc=True)) for t in times)
+    return pd.DataFrame({"state": [state], "last_ts": last_ts, "next_ts": next_ts, "silent_ms": [silent_ms]})
 
 
 def _ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
