@@ -47,8 +47,10 @@ def test_template_holds_the_elements_that_stand_once_on_each_page(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     (row,) = html_extract.templates(pages).collect()
     assert row.host == "a.example"
-    assert any(path.endswith("div id=content") for path in row.template)
-    assert not any(path.endswith("/p") and "content" in path for path in row.template)
+    weights = {t.token: t.weight for t in row.template}
+    slot = next(path for path in weights if path.endswith("div id=content"))
+    assert weights[slot] > 10
+    assert not any(path.endswith("/p") and "content" in path for path in weights)
 
 
 def test_awkward_pages(spark):
@@ -87,16 +89,91 @@ def texts_of(spark, template, n=20):
     return {row.page_id: row.text for row in html_extract.extract(pages).collect()}
 
 
-def test_constant_text_of_elements_with_any_name_is_template(spark):
+def test_constant_text_around_the_slot_is_template(spark):
     page = (
         "<body>Welcome all<table><tr><td>Home</td><td>Shop</td></tr></table><div class='c7'>Call us</div>"
         "<div class='c8'><h2>Story</h2><p>Text {i}</p><p>Same everywhere</p></div><div class='widget'><p>Buy <b>now</b></div>"
     )
-    assert texts_of(spark, page) == {i: f"Text {i} Same everywhere" for i in range(20)}
-    damaged = "<body><div class='c8'><p>Text {i}</p><div></div><div class='c7'>Call us</div>"
+    assert texts_of(spark, page) == {i: f"Story Text {i} Same everywhere" for i in range(20)}
+    damaged = "<body><div class='c7'>Call us</div><div class='c8'><p>Text {i}</p><div></div>"
     assert texts_of(spark, damaged) == {i: f"Text {i}" for i in range(20)}
 
 
+def test_wrappers_with_any_class_keep_the_article(spark):
+    for wrapper in ("wrapper has-sidebar", "with-sidebar", "story social-policy", "sidebar", "search menu", "no-ads"):
+        page = f"<body><nav>Home</nav><div class='{wrapper}'><article><h1>T {{i}}</h1><p>One {{i}}</article></div>"
+        assert texts_of(spark, page, 5) == {i: f"T {i} One {i}" for i in range(5)}
+    for wrapper in ("with-sidebar", "story social-policy", "search"):
+        page = (
+            f"<body><div id='top'>Site name</div><div class='{wrapper}'><h1>T {{i}}</h1><p>Long text {{i}}</p>"
+            "<p>more of it {i}</p></div><div class='foot'>Imprint</div>"
+        )
+        assert texts_of(spark, page, 5) == {i: f"T {i} Long text {i} more of it {i}" for i in range(5)}
+
+
+REVISION = (
+    "<body><div class='head'>The Paper</div>{open}<h1>Headline</h1><p class='lead'>The lead.</p><p>Body of all.</p>"
+    "<p>Own end {i} of the text</p>{close}<div class='foot'>Imprint</div>"
+)
+
+
+def test_revisions_of_an_article_keep_headline_and_lead(spark):
+    for tags in (("<article>", "</article>"), ("<div class='c1'>", "</div>"), ("<main><div>", "</div></main>")):
+        page = REVISION.format(open=tags[0], close=tags[1], i="{i}")
+        wanted = {i: f"Headline The lead. Body of all. Own end {i} of the text" for i in range(4)}
+        assert texts_of(spark, page, 4) == wanted
+
+
+def test_a_headline_before_the_slot_is_kept(spark):
+    page = (
+        "<body><div class='c0'>Site</div><div class='c1'><h1>Headline</h1><p class='by'>By A</p><div class='c2'>"
+        "<p>The text {i} and more of it</p><p>and the end of text {i}</p></div><div class='c3'>More offers</div></div>"
+    )
+    wanted = {i: f"Headline By A The text {i} and more of it and the end of text {i}" for i in range(6)}
+    assert texts_of(spark, page, 6) == wanted
+
+
+def test_parts_of_an_article_that_are_no_text_go(spark):
+    page = (
+        "<body><article><header><h1>Title {i}</h1></header><p>One {i}</p><div class='ad'>Buy {i}</div>"
+        "<aside>Side {i}</aside><p>Two</p><form>Mail {i}</form><div class='comments'><article class='c'>Reader {i}</article></div>"
+        "<section id='comment-list'>Reader too {i}</section><footer>Filed {i}</footer></article><div class='comments'>"
+        "<article>Third reader {i}</article></div>"
+    )
+    assert texts_of(spark, page, 6) == {i: f"Title {i} One {i} Two" for i in range(6)}
+
+
+OWN_LAYOUTS = {
+    "a.example": "<table><tr><td class='m1'>Menu of a</td><td class='x1'><h2>T{i}</h2>Some text {i} of a.</td><td class='m2'>Offers of a</td></tr></table>",
+    "b.example": "<div class='q'>We are b</div><div class='r'><p>First {i} of b.</p><p>Second {i}.</p></div><ul><li><a href='/'>Home</a></li></ul>",
+    "c.example": "<center>c since 1999</center><div><span>Text {i} of c</span><br>and more {i}</div><div class='z'>Contact c</div>",
+}
+
+
+def test_the_template_decides_where_no_element_is_named(spark):
+    rows = [
+        (i, f"http://{host}/{i}", f"<html><body>{page.format(i=i)}</body></html>")
+        for host, page in OWN_LAYOUTS.items()
+        for i in range(12)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {(row.url, row.text) for row in html_extract.extract(pages).collect()}
+    wanted = {(f"http://a.example/{i}", f"T{i} Some text {i} of a.") for i in range(12)}
+    wanted |= {(f"http://b.example/{i}", f"First {i} of b. Second {i}.") for i in range(12)}
+    wanted |= {(f"http://c.example/{i}", f"Text {i} of c and more {i}") for i in range(12)}
+    assert found == wanted
+    assert all(html_extract.main_text(page, {}) != text for _, url, page in rows for u, text in wanted if u == url)
+
+
+def test_templates_too_large_to_broadcast_are_salted(spark, monkeypatch):
+    rows = [(i, "http://a.example/x", REVISION.format(open="<div>", close="</div>", i=i)) for i in range(300)]
+    rows += [(i, f"http://h{i % 7}.example/x", PAGE.format(i=i)) for i in range(300, 350)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    wanted = sorted(map(tuple, html_extract.extract(pages).collect()))
+    monkeypatch.setattr(html_extract, "SMALL_TEMPLATES", 0)
+    assert sorted(map(tuple, html_extract.extract(pages).collect())) == wanted
+
+
 def test_pages_that_all_read_the_same_keep_their_text(spark):
     page = "<body><div class='c7'>Call us</div><div class='c8'>Story</div>"
     assert texts_of(spark, page) == {i: "Call us Story" for i in range(20)}
