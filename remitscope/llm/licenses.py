@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -71,7 +72,6 @@ TEMPLATES = [
 ]
 
 LEAST_MATCH = 3
-MOST_GAP = 8
 LEAST_COVER = 0.7
 
 
@@ -219,35 +219,111 @@ class Zeros:
 ZEROS = Zeros()
 
 
-def chained(matches: list[Match], lengths: list[int], labels: list[str]) -> list[dict]:
-    """Spans of words that cover a template, from matches that follow each other in both texts.
+class Chain(NamedTuple):
+    """Matches of a template that follow each other in both texts, and the words they cover there."""
+
+    template: int
+    start: int
+    end: int
+    covered: int
+    pieces: tuple[tuple[int, int], ...]  # of the document, [start, end)
+
+
+def added(before: Match, match: Match) -> int:
+    """How many words a match adds behind an earlier one, in the document and in the template."""
+    size = match.end - match.start
+    return size - max(0, before.end - match.start, before.upto - (match.upto - size))
+
 
-    A match is joined to the open chain of its template if it begins after the chain's last match,
-    in the template too, and at most eight words behind it; otherwise it opens a new chain.
+def chains_of(matches: list[Match], reach: int, least: float) -> list[Chain]:
+    """Chains of a template that cover ``least`` words or more, best first, none over another's words.
+
+    Matches come in order of their end. A match follows one that ends earlier in both texts, at most
+    ``reach`` words before it begins; what overlaps counts once. For each match the chain up to it
+    that covers most is worked out from those before it; of equal ones the one that begins later.
     """
-    spans, open_chains = [], {}
-
-    def close(t: int) -> None:
-        start, end, _, covered = open_chains.pop(t)
-        cover = covered / lengths[t]
-        if cover >= LEAST_COVER:
-            spans.append({"label": labels[t], "start": start, "end": end, "cover": cover})
-
-    for match in sorted(matches):
-        size, t = match.end - match.start, match.template
-        if t in open_chains:
-            start, end, upto, covered = open_chains[t]
-            over = max(0, end - match.start, upto - (match.upto - size))
-            if over < size and match.end > end and match.start - end <= MOST_GAP:
-                open_chains[t] = (start, match.end, match.upto, covered + size - over)
-                continue
-            if match.end <= end:
+    covered = [m.end - m.start for m in matches]
+    starts = [m.start for m in matches]
+    before = [-1] * len(matches)
+    ends = [m.end for m in matches]
+    for i, match in enumerate(matches):
+        for j in range(bisect_left(ends, match.start - reach), i):
+            other = matches[j]
+            more = added(other, match)
+            if more <= 0 or other.end >= match.end or other.upto >= match.upto:
                 continue
-            close(t)
-        open_chains[t] = (match.start, match.end, match.upto, size)
-    for t in list(open_chains):
-        close(t)
-    return sorted(spans, key=lambda s: (s["start"], s["end"], s["label"]))
+            if (covered[j] + more, starts[j]) > (covered[i], starts[i]):
+                covered[i], starts[i], before[i] = covered[j] + more, starts[j], j
+    found: list[Chain] = []
+    taken: list[tuple[int, int]] = []  # spans so far, in order
+    for i in sorted(range(len(matches)), key=lambda i: (-covered[i], ends[i] - starts[i], ends[i])):
+        if covered[i] < least:
+            break
+        at = bisect_left(taken, (starts[i], ends[i]))
+        if at < len(taken) and taken[at][0] < ends[i] or at and taken[at - 1][1] > starts[i]:
+            continue
+        taken.insert(at, (starts[i], ends[i]))
+        pieces, j = [], i
+        while j >= 0:
+            pieces.append((matches[j].start, matches[j].end))
+            j = before[j]
+        found.append(Chain(matches[i].template, starts[i], ends[i], covered[i], tuple(pieces[::-1])))
+    return found
+
+
+def chains(matches: list[Match], lengths: list[int]) -> list[Chain]:
+    """For each template the chains that cover enough of it, none over another's words.
+
+    What the best chains leave is searched again, as long as there are some.
+    """
+    by_template: dict[int, list[Match]] = {}
+    for match in matches:
+        by_template.setdefault(match.template, []).append(match)
+    found = []
+    for t, own in by_template.items():
+        own.sort(key=lambda m: (m.end, m.start, m.upto))
+        least = LEAST_COVER * lengths[t]
+        while sum(m.end - m.start for m in own) >= least:
+            new = chains_of(own, lengths[t], least)
+            if not new:
+                break
+            found += new
+            spans = sorted((c.start, c.end) for c in new)
+            starts = [start for start, _ in spans]
+
+            def is_free(m: Match) -> bool:
+                at = bisect_left(starts, m.end)  # noqa: B023
+                return not at or spans[at - 1][1] <= m.start  # noqa: B023
+
+            own = [m for m in own if is_free(m)]
+    return found
+
+
+def told_apart(found: list[Chain], labels: list[str]) -> list[Chain]:
+    """Without chains that say no more than one of another label.
+
+    A chain whose words of the document are all in one of another label, which covers more, goes; two
+    of different labels with the very same words both go, as nothing there tells which it is.
+    """
+    found = sorted(found, key=lambda chain: chain.start)
+    words = [{w for start, end in chain.pieces for w in range(start, end)} for chain in found]
+    vague = set()
+    for i, chain in enumerate(found):
+        for j in range(i + 1, len(found)):
+            if found[j].start >= chain.end:
+                break
+            if labels[found[j].template] != labels[chain.template]:
+                vague |= {a for a, b in ((i, j), (j, i)) if words[a] <= words[b]}
+    return [chain for i, chain in enumerate(found) if i not in vague]
+
+
+def chained(matches: list[Match], lengths: list[int], labels: list[str]) -> list[dict]:
+    """Spans of words that cover a template, in order of their place."""
+    spans = [
+        {"label": labels[c.template], "start": c.start, "end": c.end, "cover": min(1.0, c.covered / lengths[c.template])}
+        for c in told_apart(chains(matches, lengths), labels)
+    ]
+    return sorted(spans, key=lambda s: (s["start"], s["end"], s["label"], s["cover"]))
 
 
 SPANS = pa.list_(
@@ -282,7 +358,7 @@ def examine(doc_id: int | None, text: str, automaton: Automaton) -> dict:
         "last_word": max(starts, default=None),
         "base_labels": ",".join(sorted(base)),
         "labels": ",".join(sorted(base | {span["label"] for span in spans})),
-        "score": min(1.0, max((span["cover"] for span in spans), default=1.0 if base else 0.0)),
+        "score": max([1.0 if base else 0.0, *(span["cover"] for span in spans)]),
         "spans": spans,
     }
 
@@ -306,10 +382,12 @@ def license_scan(
 
     Words are runs of ASCII letters and digits, A-Z in lower case, and all other characters. A document
     is streamed through a suffix automaton of all phrases and templates; matches that go no
-    further are chained by template, and a chain that covers 70 % of a template's words is a span
-    with that template's label. The score is the best cover of a span; a phrase alone scores 1.
+    further are chained by template: the chain that covers most of it in the order of both texts, with
+    gaps of at most the template's length. One that covers 70 % of a template's words is a span with
+    that template's label, unless its words are as well those of another label's span. The score is
+    the best cover of a span, or 1 with a phrase.
 
-    Null and empty texts have no words: counts of 0, null places, empty labels and a score of 0.
+    A very long text is streamed word by word; chains look back one template's length only. Null and empty texts have no words: counts of 0, null places, empty labels and a score of 0.
     Repeated rows give equal rows. Other columns are ignored. An empty table gives no rows.
     """
     spans = "array<struct<label: string, start: long, end: long, cover: double>>"

@@ -1,5 +1,10 @@
+import itertools
+import random
 import re
 
+import duckdb
+import pytest
+
 from corpus_cases import LOWER, frame, sorted_rows
 from remitscope.llm import licenses
 
@@ -84,3 +89,103 @@ def test_whole_and_damaged_notices_are_spans(spark):
 
 def test_no_rows(no_documents):
     assert licenses.license_scan(no_documents).count() == 0
+
+
+def labels_of(text):
+    automaton = licenses.Automaton(licenses.PHRASES, licenses.TEMPLATES)
+    row = licenses.examine(0, text, automaton)
+    return set(filter(None, row["labels"].split(","))), row["score"]
+
+
+@pytest.mark.parametrize("label", ["mit", "apache-2.0", "bsd"])
+@pytest.mark.parametrize("noise", [9, 25])
+def test_notices_with_words_in_the_middle_keep_their_label(label, noise):
+    notice = max((text for own, text in licenses.TEMPLATES if own == label), key=len).split()
+    middle = len(notice) // 2
+    foreign = [f"foreign{i}" for i in range(noise)]
+    found, score = labels_of(" ".join([*notice[:middle], *foreign, *notice[middle:]]))
+    assert found == {label} and score > 0.9
+
+
+def test_a_notice_edited_around_each_repeated_phrase_keeps_its_label():
+    notice = next(text for label, text in licenses.TEMPLATES if label == "bsd")
+    edited = notice.replace("the above copyright notice", "XX the above copyright notice").replace("disclaimer", "disclaimer YY")
+    assert labels_of(edited)[0] == {"bsd"}
+
+
+def test_no_version_from_a_mention_without_one():
+    assert labels_of("licensed under the GNU General Public License")[0] == {"gpl"}
+    assert labels_of("licensed under the GNU General Public License, version 4")[0] == {"gpl"}
+    assert labels_of("licensed under the GNU General Public License, version 3")[0] == {"gpl", "gpl-3.0"}
+    assert labels_of("licensed under the GNU General Public License, version 2 only")[0] == {"gpl", "gpl-2.0"}
+
+
+def test_more_evidence_never_scores_less():
+    assert labels_of("cc by")[1] == labels_of("under CC BY 4.0")[1] == labels_of("Licensed under CC BY 4.0")[1] == 1
+    assert labels_of("nothing of the kind")[1] == 0
+
+
+def test_two_copies_of_a_notice_are_two_spans():
+    notice = next(text for label, text in licenses.TEMPLATES if label == "bsd")
+    automaton = licenses.Automaton(licenses.PHRASES, licenses.TEMPLATES)
+    spans = licenses.examine(0, f"{notice} and then {notice}", automaton)["spans"]
+    assert [span["label"] for span in spans] == ["bsd", "bsd"] and spans[0]["end"] < spans[1]["start"]
+
+
+def test_the_best_chain_is_the_best_of_all(monkeypatch):
+    draw = random.Random(5)
+    for _ in range(300):
+        matches = []
+        for _ in range(draw.randrange(1, 8)):
+            size, end = draw.randrange(1, 5), draw.randrange(5, 30)
+            matches.append(licenses.Match(end - size, end, 0, draw.randrange(size, 20)))
+        matches.sort(key=lambda m: (m.end, m.start, m.upto))
+        reach = draw.randrange(0, 12)
+        best = 0
+        for n in range(1, len(matches) + 1):
+            for chain in itertools.combinations(matches, n):
+                covered = chain[0].end - chain[0].start
+                for a, b in zip(chain, chain[1:]):
+                    more = licenses.added(a, b)
+                    if more <= 0 or a.end >= b.end or a.upto >= b.upto or b.start - a.end > reach:
+                        break
+                    covered += more
+                else:
+                    best = max(best, covered)
+        assert licenses.chains_of(matches, reach, 1)[0].covered == best
+
+
+def test_many_copies_of_a_notice_take_time_in_proportion():
+    notice = next(text for label, text in licenses.TEMPLATES if label == "bsd")
+    automaton = licenses.Automaton(licenses.PHRASES, licenses.TEMPLATES)
+    row = licenses.examine(0, " ".join([notice] * 2000), automaton)
+    assert len(row["spans"]) == 2000 and {s["label"] for s in row["spans"]} == {"bsd"}
+
+
+BASE_SQL = r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), places AS (
+        SELECT doc_id, i - 1 AS place, CASE
+            WHEN w[i] = 'cc' AND w[i + 1] = 'by' THEN 'cc-by'
+            WHEN w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license' THEN 'gpl'
+            WHEN w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved' THEN 'reserved' END AS label
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+    )
+    SELECT doc_id, len(any_value(w)) AS n_words, count(label) AS n_base,
+           min(place) FILTER (label IS NOT NULL) AS first_word, max(place) FILTER (label IS NOT NULL) AS last_word,
+           coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+    FROM words LEFT JOIN places USING (doc_id) GROUP BY doc_id
+"""
+
+
+def test_base_columns_equal_sql(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    wanted = sorted_rows(duck.execute(BASE_SQL.replace("\\\\", "\\")).fetchall())
+    found = licenses.license_scan(spark.read.parquet(path)).select(COLUMNS).collect()
+    assert sorted_rows(map(tuple, found)) == wanted
