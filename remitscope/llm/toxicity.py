@@ -20,8 +20,11 @@ CLEAR = 3.0
 ROUNDS = 300
 STEMS = (4, 5, 6)
 MEMO_WORDS = 500_000
+BAG_WORDS = 40
+PART_WORDS = 3_000  # about what a training text has at most
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
+WORD = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 ENDS = b".!?\n"
 
 
@@ -38,10 +41,19 @@ def word_table() -> bytes:
 TABLE = word_table()
 
 
+def bags(words: list[bytes]) -> list[list[bytes]]:
+    """A sentence in as many bags of about equal length as keep each within BAG_WORDS."""
+    if len(words) <= BAG_WORDS:
+        return [words] if words else []
+    n = -(-len(words) // BAG_WORDS)
+    cuts = [len(words) * i // n for i in range(n + 1)]
+    return [words[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def sentences(text: str) -> list[list[bytes]]:
-    """The words of each sentence that has some."""
+    """The words of each sentence that has some; long ones, or text without stops, in several bags."""
     split = (part.split() for part in text.encode().translate(TABLE).split(b"\n"))
-    return [words for words in split if words]
+    return [bag for words in split for bag in bags(words)]
 
 
 def word_features(word: bytes) -> list[bytes]:
@@ -129,24 +141,40 @@ def document_score(text: str, known: WordWeights, bias: float) -> tuple[float, l
     """The noisy-or over the sentences, and the places of those that are likelier toxic than not.
 
     A sentence counts by its excess over one without known words, so those add nothing, however
-    many. Places are positions of characters.
+    many. A text longer than those that the model was fitted to counts by its worst part of their
+    length, as small doubts would add up over any number of sentences. Places are positions of
+    characters.
     """
-    total, suspect, plain = 0.0, False, float(np.logaddexp(0, bias))
+    worst, suspect, plain = 0.0, False, float(np.logaddexp(0, bias))
+    total, n_words = 0.0, 0
     for words in sentences(text):
+        if n_words > PART_WORDS:
+            total, n_words = 0.0, 0
+        n_words += len(words)
         if any(map(known.__getitem__, words)):
             z = bias + sum(map(known.__getitem__, set(words)))
             total += float(np.logaddexp(0, z)) - plain
+            worst = max(worst, total)
             suspect = suspect or z >= 0
-    return 1.0 - float(np.exp(-total)), offending(text, known, bias) if suspect else []
+    return 1.0 - float(np.exp(-worst)), offending(text, known, bias) if suspect else []
 
 
 def offending(text: str, known: WordWeights, bias: float) -> list[dict]:
+    """The sentences, or the bags of long ones, that are likelier toxic than not."""
     found = []
     for match in SENTENCE.finditer(text):
-        words = set(match.group().encode().translate(TABLE).split())
-        z = bias + sum(map(known.__getitem__, words))
-        if z >= 0:
-            found.append({"start": match.start(), "end": match.end(), "score": 1 / (1 + np.exp(-z))})
+        words = [(m.group().encode().translate(TABLE).split(), m) for m in WORD.finditer(match.group())]
+        flat = [(w, m) for own, m in words for w in own]
+        start = 0
+        whole = bags([w for w, _ in flat])
+        for bag in whole:
+            z = bias + sum(map(known.__getitem__, set(bag)))
+            if z >= 0:
+                first = 0 if len(whole) == 1 else flat[start][1].start()
+                last = len(match.group()) if len(whole) == 1 else flat[start + len(bag) - 1][1].end()
+                place = {"start": match.start() + first, "end": match.start() + last}
+                found.append(place | {"score": 1 / (1 + np.exp(-z))})
+            start += len(bag)
     return found
 
 
@@ -187,8 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
 def toxicity_scores(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted and the offending sentences, for every row.
 
-    A sentence ends at ``.``, ``!``, ``?`` or a line feed; words are runs of letters, with A-Z in
-    lower case. ``sentences`` lists those with a probability of a half or more, as start, end (in
+    A sentence ends at ``.``, ``!``, ``?`` or a line feed, and is cut into bags of 40 words at most;
+    words are runs of letters, with A-Z in lower case. A very long text scores as its worst 3,000
+    words do. ``sentences`` lists those with a probability of a half or more, as start, end (in
     characters) and score. Null and empty texts have no sentence and score 0, repeated rows score
     equally. Other columns are ignored. An empty table gives no rows; without labels of both
     classes all scores are the share of toxic ones, or a half.
