@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from remitscope.llm.words import Words, grams, sliding, word_hashes, words_of
+from remitscope.llm.words import BLANK, Words, grams, sliding, word_hashes, words_of
 
 WINDOW = 20
 PHRASE = 8
@@ -207,49 +207,91 @@ def answer_windows(key: tuple, asked: pa.Table) -> pa.Table:
     )
 
 
-def located(unit: Unit, places: np.ndarray) -> np.ndarray:
-    """Where the phrases that stand at ``places`` occur in the documents of the unit.
+def word_numbers(words: Words) -> np.ndarray:
+    """A number for each distinct word, by its bytes."""
+    content = words.data[~BLANK[words.data] & (np.arange(len(words.data)) < words.offsets[-1])]
+    offsets = np.r_[0, np.cumsum(words.ends - words.starts)].astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(content)]
+    listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+    return listed.dictionary_encode().indices.to_numpy()
 
-    The phrases are compiled into automata of at most 100,000 each, over letters that stand for
-    words, and all documents are streamed through every automaton.
+
+def phrase_places(unit: Unit, numbers: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases that stand at ``places``: the number of each, and that of the phrase which starts
+    at each word of the unit, or -1.
+
+    The distinct phrases are compiled into automata of at most MOST_PHRASES each, over letters that
+    stand for words, and all documents of the unit are streamed through every automaton.
     """
-    hits = np.zeros(len(unit.hashes), dtype=bool)
+    found = np.full(len(numbers), -1, dtype=np.int64)
+    own = np.empty(len(places), dtype=np.int64)
+    known = 0
     for at in range(0, len(places), MOST_PHRASES):
         spots = places[at : at + MOST_PHRASES, None] + np.arange(PHRASE)
-        alphabet = np.unique(unit.hashes[spots])
-        letter = np.minimum(np.searchsorted(alphabet, unit.hashes), len(alphabet) - 1)
-        letter = np.where(alphabet[letter] == unit.hashes, letter + 1, 0)
+        alphabet = np.unique(numbers[spots])
+        letter = np.minimum(np.searchsorted(alphabet, numbers), len(alphabet) - 1)
+        letter = np.where(alphabet[letter] == numbers, letter + 1, 0)
         letter += 0x800 * (letter >= 0xD800)  # code points that no text can hold
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for row in letter[spots].astype("<u4"):
-            automaton.add_word(row.tobytes().decode("utf-32-le"))
-        automaton.make_automaton()
         text = letter.astype("<u4").tobytes().decode("utf-32-le")
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i in range(at, min(at + MOST_PHRASES, len(places))):
+            place = int(places[i])
+            if found[place] >= 0:  # an earlier automaton has this phrase
+                own[i] = found[place]
+                continue
+            phrase = text[place : place + PHRASE]
+            own[i] = automaton.get(phrase, known)
+            if own[i] == known:
+                automaton.add_word(phrase, known)
+                known += 1
+        if not len(automaton):
+            continue
+        automaton.make_automaton()
         for first, last in zip(unit.words.firsts.tolist(), unit.words.lasts.tolist()):
             if last - first >= unit.window:
-                found = [end for end, _ in automaton.iter(text[first:last])]
-                hits[np.array(found, dtype=np.int64) + first - PHRASE + 1] = True
-    return hits
+                hits = list(automaton.iter(text[first:last]))
+                if hits:
+                    ends, phrases = np.array(hits, dtype=np.int64).T
+                    found[ends + first - PHRASE + 1] = phrases
+    return own, found
+
+
+def located(unit: Unit, windows: np.ndarray) -> np.ndarray:
+    """Which of the windows that stand at some places starts at each word of the unit, or -1.
+
+    A window is its phrases at a few places that together cover it, so it occurs wherever the
+    automata find these phrases in these places, word for word.
+    """
+    steps = [*range(0, unit.window - PHRASE, PHRASE), unit.window - PHRASE]
+    own, found = phrase_places(unit, word_numbers(unit.words), np.concatenate([windows + s for s in steps]))
+    size = len(unit.valid)
+    wanted, there = own[: len(windows)], found[:size]
+    for i, step in enumerate(steps[1:], 1):
+        second = own[i * len(windows) : (i + 1) * len(windows)]
+        many = int(second.max()) + 1
+        pairs, wanted = np.unique(wanted * many + second, return_inverse=True)
+        after = found[step : step + size]
+        code = there * many + after
+        match = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
+        fits = (there >= 0) & (after >= 0) & (after < many) & (pairs[match] == code)
+        there = np.where(fits, match, -1)
+    place = np.empty(len(windows), dtype=np.int64)
+    place[wanted] = np.arange(len(windows))
+    return np.where(unit.valid & (there >= 0), place[there], -1)
 
 
 def repeats(unit: Unit, replies: dict) -> np.ndarray:
     """The words that a window covers whose words also start earlier."""
-    high, low, first, counts = unit.candidates(replies)
+    high, _, first, counts = unit.candidates(replies)
     elsewhere = replies_bits(replies, FIRSTS, len(high))
     confirmed = elsewhere | (counts > 1)
-    high, low, first, elsewhere = (a[confirmed] for a in (high, low, first, elsewhere))
+    first, elsewhere = first[confirmed], elsewhere[confirmed]
     covered = np.zeros(len(unit.hashes), dtype=bool)
-    if not len(high):
+    if not len(first):
         return covered
-    phrases = unit.at[np.unique(np.searchsorted(unit.values, unit.anchor[first]))]
-    reach = unit.window - PHRASE + 1
-    hits = located(unit, phrases)
-    near = sliding(hits[: len(unit.valid) + reach - 1], reach, np.maximum)
-    places = np.flatnonzero(unit.valid & near)
-    match = np.minimum(np.searchsorted(high, unit.high[places]), len(high) - 1)
-    same = (high[match] == unit.high[places]) & (low[match] == unit.low[places])
-    places, match = places[same], match[same]
-    places = places[elsewhere[match] | (places != first[match])]
+    window = located(unit, first)
+    places = np.flatnonzero(window >= 0)
+    places = places[elsewhere[window[places]] | (places != first[window[places]])]
     edges = np.zeros(len(covered) + 1, dtype=np.int32)
     np.add.at(edges, places, 1)
     np.add.at(edges, places + unit.window, -1)
@@ -306,9 +348,9 @@ def without_repeats(
     passes. A window's anchor is its eight-word phrase of the smallest hash. First the units ask
     shards, which own ranges of hashes, which of their distinct anchors other units have; then, of
     the windows around those alone, which stand earlier elsewhere (compared by 128 bits). What is
-    confirmed is compiled into automata of phrases, and all documents of the unit are
-    streamed through them; at each place found, the windows around it are compared with the
-    confirmed ones. A unit names each anchor and window once, so a passage that is in a third of
+    confirmed is compiled into automata of phrases of words, a few for each window, and all documents
+    of the unit are streamed through them: a window occurs where the automata find its phrases, and
+    only such places are removed. A unit names each anchor and window once, so a passage that is in a third of
     all documents weighs no more in a shard than one row of a unit.
 
     A null text has no words and gives an empty text. A null id counts as the largest. Rows that
