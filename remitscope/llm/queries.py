@@ -110,6 +110,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_substring_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS passage
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs)
+        ), numbered AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) AS place FROM windows
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM numbered WHERE place > 1
+        ), words AS (
+            SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
