@@ -18,7 +18,8 @@ WINDOW = 20
 PHRASE = 8
 UNIT_BYTES = 4_000_000
 SHARD_BYTES = 32_000_000
-MOST_PHRASES = 100_000
+MOST_PHRASES = 50_000
+DIGITS = 64
 LAST = np.iinfo(np.int64).max
 
 ANCHORS, FIRSTS = 0, 1
@@ -216,43 +217,50 @@ def word_numbers(words: Words) -> np.ndarray:
     return listed.dictionary_encode().indices.to_numpy()
 
 
+def as_symbols(numbers: np.ndarray) -> tuple[str, int]:
+    """Numbers as text, each of the same few symbols, and how many.
+
+    A number is written in digits, each place of which has symbols of its own, so that no digit is
+    taken for one of another place. Few symbols keep the automata's nodes small.
+    """
+    width = 1
+    while DIGITS**width <= int(numbers.max(initial=0)):
+        width += 1
+    places = np.arange(width)
+    digits = numbers[:, None] // DIGITS**places % DIGITS + DIGITS * places + 1
+    return digits.astype("<u2").tobytes().decode("utf-16-le"), width
+
+
 def phrase_places(unit: Unit, numbers: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The phrases that stand at ``places``: the number of each, and that of the phrase which starts
     at each word of the unit, or -1.
 
-    The distinct phrases are compiled into automata of at most MOST_PHRASES each, over letters that
-    stand for words, and all documents of the unit are streamed through every automaton.
+    The distinct phrases are compiled into automata of at most MOST_PHRASES each, and all documents
+    of the unit are streamed through every automaton.
     """
     found = np.full(len(numbers), -1, dtype=np.int64)
-    own = np.empty(len(places), dtype=np.int64)
-    known = 0
-    for at in range(0, len(places), MOST_PHRASES):
-        spots = places[at : at + MOST_PHRASES, None] + np.arange(PHRASE)
-        alphabet = np.unique(numbers[spots])
-        letter = np.minimum(np.searchsorted(alphabet, numbers), len(alphabet) - 1)
-        letter = np.where(alphabet[letter] == numbers, letter + 1, 0)
-        letter += 0x800 * (letter >= 0xD800)  # code points that no text can hold
-        text = letter.astype("<u4").tobytes().decode("utf-32-le")
+    text, width = as_symbols(numbers)
+    size = PHRASE * width
+    known: dict[str, int] = {}
+    own = np.array(
+        [known.setdefault(text[at : at + size], len(known)) for at in (places * width).tolist()], dtype=np.int64
+    )
+    spans = [
+        (first, text[first * width : last * width])
+        for first, last in zip(unit.words.firsts.tolist(), unit.words.lasts.tolist())
+        if last - first >= unit.window
+    ]
+    phrases = list(known)
+    for at in range(0, len(phrases), MOST_PHRASES):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i in range(at, min(at + MOST_PHRASES, len(places))):
-            place = int(places[i])
-            if found[place] >= 0:  # an earlier automaton has this phrase
-                own[i] = found[place]
-                continue
-            phrase = text[place : place + PHRASE]
-            own[i] = automaton.get(phrase, known)
-            if own[i] == known:
-                automaton.add_word(phrase, known)
-                known += 1
-        if not len(automaton):
-            continue
+        for i, phrase in enumerate(phrases[at : at + MOST_PHRASES], at):
+            automaton.add_word(phrase, i)
         automaton.make_automaton()
-        for first, last in zip(unit.words.firsts.tolist(), unit.words.lasts.tolist()):
-            if last - first >= unit.window:
-                hits = list(automaton.iter(text[first:last]))
-                if hits:
-                    ends, phrases = np.array(hits, dtype=np.int64).T
-                    found[ends + first - PHRASE + 1] = phrases
+        for first, words in spans:
+            hits = list(automaton.iter(words))
+            if hits:
+                ends, which = np.array(hits, dtype=np.int64).T
+                found[(ends + 1) // width + first - PHRASE] = which
     return own, found
 
 
