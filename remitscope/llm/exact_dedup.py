@@ -11,6 +11,7 @@ from remitscope.llm.common import keyed_texts
 
 HOT_KEYS = 4096
 HOT_ROWS = 64
+HOT_BYTES = 1_000_000
 KEY_CHARS = 16
 
 
@@ -20,14 +21,22 @@ def run() -> WindowSpec:
 
 
 def sorted_rows(rows: DataFrame) -> DataFrame:
-    """The rows dealt to ranges of contents, the copies of a hot text in several pieces."""
-    limit = max(HOT_ROWS, math.ceil(rows.count() / HOT_KEYS))
+    """The rows dealt to ranges of contents, the copies of a hot text in several pieces.
+
+    Hot is a text whose copies are more than 1/4096 of all rows, or of all bytes; there are at most
+    twice 4096 such texts, and a piece is no larger than that share unless it is a single row.
+    """
+    size = F.octet_length("text").cast("long")
+    n, n_bytes = rows.agg(F.count(F.lit(1)), F.sum(size)).first()
+    limit = max(HOT_ROWS, math.ceil(n / HOT_KEYS))
+    most_bytes = max(HOT_BYTES, math.ceil((n_bytes or 0) / HOT_KEYS))
     hashed = rows.withColumn("hash", F.xxhash64("text"))
+    pieces = F.greatest(F.ceil(F.col("n") / limit), F.ceil(F.col("bytes") / most_bytes))
     hot = (
         hashed.groupBy("hash")
-        .count()
-        .filter(F.col("count") > limit)
-        .select("hash", F.ceil(F.col("count") / limit).alias("pieces"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"))
+        .filter((F.col("n") > 1) & ((F.col("n") > limit) | (F.col("bytes") > most_bytes)))
+        .select("hash", pieces.alias("pieces"))
     )
     return (
         hashed.join(F.broadcast(hot), "hash", "left")
@@ -47,10 +56,10 @@ def exact_groups(docs: DataFrame, keep: str = "largest") -> DataFrame:
 
     Sampled splitters deal the texts to ranges, each range is sorted externally, and a window
     compares every text with its neighbour in full. The splitters are of the first 16 characters
-    and a hash, so that what is sampled stays small however long the texts are. A text with more
-    than 1/4096 of all rows (and more than 64) has its copies cut into pieces by id before the sort,
-    so one text cannot fill a range; there are at most 4096 such texts, and their pieces, found by
-    the sort, are joined up by digest afterwards.
+    and a hash, so that what is sampled stays small however long the texts are. A text whose copies
+    are more than 1/4096 of all rows (and more than 64) or bytes (and more than a megabyte) has them
+    cut into pieces by id before the sort, so one text cannot fill a range; the pieces of these texts,
+    some thousands in all, are found by the sort and joined up by digest afterwards.
 
     ``keep`` is "largest" or "smallest" id. Returns doc_id, keep_id, group_size, kept and
     text_sha256, one row for each input row.
