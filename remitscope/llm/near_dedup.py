@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitscope.llm.components import components
+from remitscope.llm.components import HOT_KEYS, components, with_value
 from remitscope.llm.words import STEP, grams, mixed, word_hashes, words_of
 from remitscope.storage import written
 
@@ -26,6 +26,7 @@ TILE_ROWS = 400
 SHARED_COLUMNS = 8192
 PAIRS_AT_ONCE = 20_000
 GROUP_WORDS = 500_000
+HOT_ROWS = 64
 HUB_WORDS = 200_000
 MARGIN = 12.5  # of log-likelihood, five standard errors
 
@@ -518,8 +519,13 @@ def keyed_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     )
-    least = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least_id"))
-    return placed.join(least, "root", "left").select(
+    least = (
+        placed.filter("root IS NOT NULL")
+        .groupBy("root")
+        .agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n"))
+    )
+    most = max(HOT_ROWS, rows.count() // HOT_KEYS)
+    return with_value(placed, "root", least, "least_id", most).select(
         "doc_id",
         "key",
         "n_shingles",
