@@ -164,7 +164,11 @@ def quality_scores(docs: DataFrame, model: dict, threshold: float = 0.3) -> Data
 
 
 def keep_good(docs: DataFrame, model: dict, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more.
+
+    A null text scores as the empty one does, repeated rows fare alike, a very long text is judged by
+    all its blocks, and an empty table stays empty.
+    """
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,11 @@
+import re
+
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from corpus_cases import is_held_out
+from corpus_cases import LOWER, is_held_out
 from remitscope.llm import quality, toxicity
 from remitscope.llm.common import table
 
@@ -105,3 +108,99 @@ def test_a_long_text_is_told_by_its_whole_length(spark):
         difference = quality.features(scores.good, scores.bad, whole.encode())[0]
         assert difference > 0.05 if label else difference < -0.04
         assert (scores([whole])[0] >= 0.3) == bool(label)
+
+
+def test_no_documents_at_all_train_a_model_that_knows_only_the_share(spark, kind, no_documents, messy):
+    label, train, score, _ = kind
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], f"doc_id long, {label} int")
+    model = train(no_documents, labels)
+    share = {row.score for row in score(messy, model).collect()}
+    assert len(share) == 1 and 0 < share.pop() < 1
+    assert score(no_documents, train(no_documents, labels.limit(0))).count() == 0
+
+
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_toxicity(text, weights, bias):
+    """The worst noisy-or of some 3,000 words in a row, word by word."""
+    worst, clean, n = 0.0, 1.0, 0
+    for sentence in re.split(r"[.!?\n]", text or ""):
+        words = [w.translate(LOWER) for w in LETTERS.findall(sentence)]
+        parts = max(1, -(-len(words) // 40))
+        for i in range(parts):
+            bag = words[len(words) * i // parts : len(words) * (i + 1) // parts]
+            if not bag:
+                continue
+            if n > 3000:
+                clean, n = 1.0, 0
+            n += len(bag)
+            z = bias
+            for word in set(bag):
+                data = word.encode()
+                z += weights.get(data + b"$", 0.0) + sum(weights.get(data[:k], 0.0) for k in (4, 5, 6) if len(data) >= k)
+            # Against a sentence without any known word, which is as clean as can be.
+            clean *= (1 + np.exp(bias)) / (1 + np.exp(z))
+            worst = max(worst, 1 - clean)
+    return worst
+
+
+def test_scores_equal_a_plain_noisy_or(spark, messy, messy_rows):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = toxicity.train(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    rows = [(row.doc_id, row.text) for row in docs.select("doc_id", "text").collect()]
+    known = {row.doc_id: row.score for row in toxicity.toxicity_scores(docs, model).collect()}
+    assert model["weights"] and sum(score > 0.5 for score in known.values()) > 5
+    for doc_id, text in rows:
+        assert known[doc_id] == pytest.approx(plain_toxicity(text, model["weights"], model["bias"]), abs=1e-9)
+    found = sorted(row.score for row in toxicity.toxicity_scores(messy, model).collect())
+    assert found == pytest.approx(sorted(plain_toxicity(t, model["weights"], model["bias"]) for _, t in messy_rows), abs=1e-9)
+
+
+def test_a_million_clean_characters_are_clean_and_one_toxic_sentence_is_found(spark):
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    model = toxicity.train(docs, labels)
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id").collect()
+    clean = "\n".join(row.text for row in rows if row.toxic == 0 and row.text)[:1_000_000]
+    known = toxicity.WordWeights(model["weights"])
+    spans = [
+        (row.text[s["start"] : s["end"]], s["score"])
+        for row in rows
+        if row.toxic == 1 and row.text
+        for s in toxicity.offending(row.text, known, model["bias"])
+    ]
+    bad = max(spans, key=lambda s: s[1])[0].strip()
+    for text in (clean, re.sub(r"[.!?\n]", " ", clean)):
+        score, offending = toxicity.document_score(text, known, model["bias"])
+        assert score < 0.5 and not offending
+        score, offending = toxicity.document_score(f"{text[:500_000]}\n{bad}\n{text[500_000:]}", known, model["bias"])
+        assert score >= 0.5 and len(offending) >= 1
+    truth = {row.doc_id for row in rows if row.toxic == 1}
+    found = {row.doc_id for row in toxicity.toxicity_scores(docs, model).filter("predicted = 1 AND held_out").collect()}
+    held = {i for i in truth if is_held_out(i)}
+    assert len(held & found) / len(held) > 0.8
+
+
+def test_sizes_equal_a_plain_compressor_block_by_block(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = quality.train(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    known = {row.doc_id: row.score for row in quality.quality_scores(docs, model).collect()}
+
+    def size(content, data):
+        """With the dictionary given anew for each block of 16 KB at most."""
+        n, total = max(1, -(-len(data) // 16_384)), 0
+        for i in range(n):
+            dictionary = zstandard.ZstdCompressionDict(content)
+            options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+            compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, **options)
+            total += len(compressor.compress(data[len(data) * i // n : len(data) * (i + 1) // n]))
+        return total
+
+    for row in docs.orderBy("doc_id").limit(80).collect():
+        data = (row.text or "").encode()
+        good, bad = size(model["good"], data), size(model["bad"], data)
+        difference, share = (bad - good) / (bad + good), min(good / (len(data) + 1), 1.2)
+        steps = [min(share, top) for top in (0.1, 0.2, 0.4)]
+        x = [difference, share, *steps, difference * steps[-1]]
+        z = sum((a - m) / s * w for a, m, s, w in zip(x, model["mean"], model["spread"], model["weights"]))
+        assert known[row.doc_id] == pytest.approx(1 / (1 + np.exp(-(z + model["weights"][-1]))), abs=1e-9)
