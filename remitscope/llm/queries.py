@@ -152,6 +152,34 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op10_near_dedup": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) AS i FROM docs)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+                FROM shingles AS x JOIN shingles AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+                GROUP BY ALL
+            ) AS s JOIN sizes AS a ON a.doc_id = s.a JOIN sizes AS b ON b.doc_id = s.b
+            WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM docs
+            UNION SELECT r.doc_id, l.b FROM reached AS r JOIN links AS l ON r.other = l.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id,
+               min(other) = d.doc_id AS kept
+        FROM docs AS d JOIN reached AS r ON r.doc_id = d.doc_id LEFT JOIN sizes AS s ON s.doc_id = d.doc_id
+        GROUP BY d.doc_id
+    """,
     "op11_source_divergence": r"""
         WITH given AS (
             SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d,
