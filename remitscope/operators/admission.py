@@ -370,6 +370,21 @@ def token_bucket_admission(
     return admission_with_states(events, bucket, None, key, ts, event_id, partitions)[0]
 
 
+def _not_before(given: DataFrame, states: DataFrame) -> DataFrame:
+    """The events, with ``now`` no earlier than their key's state.
+
+    Only those from before the latest state of all can be earlier and meet their key; all others,
+    as a rule nearly all, are spread by their place.
+    """
+    latest = states.agg(F.max("last_us")).first()[0]
+    if latest is None:
+        return given
+    known = states.select(F.col("key").alias("state_key"), "last_us")
+    meets = F.when(F.col("us") < latest, F.col("key")).otherwise(F.concat(F.lit("#"), F.col("place")))
+    joined = given.join(known, meets == F.col("state_key"), "left")
+    return joined.withColumn("now", F.greatest("us", "last_us")).select(given.columns)
+
+
 STATES = "key string, last_us bigint, credit string"
 
 
@@ -408,9 +423,7 @@ def admission_with_states(
             F.lit(-1).cast("bigint").alias("place"),
             "credit",
         )
-        known = states.select(F.col("key").alias("state_key"), "last_us")
-        came_late = given.join(known, F.col("key") == F.col("state_key"), "left")
-        given = came_late.withColumn("now", F.greatest("us", "last_us")).select(given.columns).unionByName(held)
+        given = _not_before(given, states).unionByName(held)
         order = ["key", F.col("credit").isNull(), "us", "id"]
     ordered = (
         given.repartitionByRange(*count, *order, "place")

@@ -7,13 +7,15 @@ the object, numbers for strings and missing fields through. Two paths give the s
   pattern, which leaves nothing to judge but the calendar, and cut at its quotes.
 * Any other record is parsed, once, into a variant and judged field by field.
 
-Fields of other names are ignored, unless one occurs twice in the same object: the parser rejects
-any repeated name, so such a record is malformed. Times carry offsets up to 18:00 and no leap
-seconds, the range that timestamps have.
+Fields of other names are ignored, also repeated ones. The parser takes no repeated name at all, so
+a record that it refuses is read once more, name by name: if none of the event's own names repeats,
+the event's fields alone are judged. Times carry offsets up to 18:00 and no leap seconds, the range
+that timestamps have.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitscope import schema as S
 from remitscope.functions.identifiers import canonical_uuid, is_uuid
@@ -88,6 +90,56 @@ def _usual_fields() -> Column:
     )
 
 
+# The other readers of JSON are as strict as the parser with these.
+_STRICT = {
+    "mode": "PERMISSIVE",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "allowNumericLeadingZeros": "false",
+    "allowUnquotedFieldNames": "false",
+    "allowComments": "false",
+    "allowBackslashEscapingAnyCharacter": "false",
+    "allowUnquotedControlChars": "false",
+}
+
+
+def _are_distinct(object_: Column, struct: T.StructType) -> Column:
+    """Whether none of the struct's names occurs twice in an object, given as a map of all its names."""
+    own = F.filter(F.map_keys(object_), lambda name: name.isin(struct.names))
+    return F.size(own) == F.size(F.array_distinct(own))
+
+
+def _without_other_fields(text: Column) -> Column:
+    """The text of an object with the event's fields alone, or NULL.
+
+    Given for records in which the parser met a repeated name, and sealed like there. A map read from
+    JSON keeps repeated names, which tells whether one of the event's own is among them, and a struct
+    takes the event's fields whatever else there is. The minor units must be an integer, which stays
+    the same as text, or missing; any record that gives NULL here is malformed.
+    """
+    seal = F.xxhash64("value").cast("string")
+    sealed = F.concat(F.lit("["), text, F.lit(',{"seal":'), seal, F.lit("}]"))
+    objects = F.from_json(sealed, "array<map<string, string>>", _STRICT)
+    event, end = F.get(objects, F.lit(0)), F.get(objects, F.lit(1))
+    is_sealed = (F.size(objects) == 2) & (F.map_keys(end) == F.array(F.lit("seal")))
+    is_sealed = is_sealed & (F.get(F.map_values(end), F.lit(0)) == seal)
+    def given(name: str) -> Column:
+        return F.get(F.map_values(event), F.array_position(F.map_keys(event), name).cast("int") - 1)
+
+    amount = F.from_json(given("amount"), "map<string, string>", _STRICT)
+    distinct = _are_distinct(event, S.PAYMENT_EVENT) & F.coalesce(_are_distinct(amount, S.MONEY), F.lit(True))
+    money_fields = ", ".join(f"{name}: variant" for name in S.MONEY.names)
+    fields = ", ".join(
+        f"{name}: struct<{money_fields}>" if name == "amount" else f"{name}: variant" for name in S.PAYMENT_EVENT.names
+    )
+    own = F.get(F.from_json(sealed, f"array<struct<{fields}>>", _STRICT), F.lit(0))
+    units = F.schema_of_variant(own["amount"]["minor_units"])
+    is_whole = F.coalesce(units.isin("BIGINT", "VOID"), F.lit(True))
+    for name in S.PAYMENT_EVENT.names:  # a value that its type does not take would be missing here
+        is_whole = is_whole & (given(name).isNull() | own[name].isNotNull())
+    return F.when(is_sealed & distinct & is_whole, F.to_json(own))
+
+
 def _type(path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get("doc", path, "variant"))
 
@@ -147,11 +199,13 @@ def decode(records: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     is_text = F.is_valid_utf8(text)
     parts = F.when(is_text & text.rlike(_usual_layout()), F.split(text, '"'))
-    array_text = F.concat(
-        F.lit("["), text, F.lit(","), F.xxhash64("value").cast("string"), F.lit("]")
-    )
+
+    def sealed(event: Column) -> Column:
+        return F.concat(F.lit("["), event, F.lit(","), F.xxhash64("value").cast("string"), F.lit("]"))
+
     is_usual = F.col("parts").isNotNull()
-    doc = F.when(~is_usual & is_text, F.try_parse_json(array_text))
+    parsed = F.coalesce(F.try_parse_json(sealed(text)), F.try_parse_json(sealed(_without_other_fields(text))))
+    doc = F.when(~is_usual & is_text, parsed)
     parsed_fields = F.try_variant_get("doc", "$[0]", _TEXT_FORM)
     reject_reason = F.coalesce(
         "shape_reason",

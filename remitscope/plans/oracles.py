@@ -165,7 +165,7 @@ SELECT 'settled', list_position({_CURRENCIES}, key) - 1, key, settled_minor_unit
 FROM snapshot WHERE dimension = 'currency'""",
     "decode_events": _payments(
         'SELECT event_id AS "offset", payment_id, direction, account, currency, minor_units, '
-        "status, occurred_at FROM payments WHERE event_id % 50 > 13"
+        "status, occurred_at FROM payments WHERE event_id % 50 > 12"
     ),
     "poison_records": """
 SELECT event_id AS "offset",
@@ -173,7 +173,7 @@ SELECT event_id AS "offset",
             WHEN 5 THEN 'bad_timestamp' WHEN 6 THEN 'bad_uuid' WHEN 7 THEN 'wrong_type'
             WHEN 10 THEN 'bad_uuid' WHEN 11 THEN 'bad_timestamp'
             ELSE 'malformed' END AS reject_reason
-FROM events WHERE event_id % 50 < 14 AND event_id % 50 <> 4""",
+FROM events WHERE event_id % 50 < 13 AND event_id % 50 <> 4""",
     "tombstone_filter": 'SELECT event_id AS "offset" FROM events WHERE event_id % 50 <> 4',
     "publish_outcomes": _log(
         """

@@ -45,6 +45,13 @@ ACCEPTED = {
     "urn": having(payment_id="urn:uuid:8f2c0000-0000-0000-0000-000000000001"),
     "blanks around": f" \n\t{TEXT}  ",
     "escaped text": TEXT.replace("acct-1", "\\u0061cct-1"),
+    "unknown field twice": TEXT.replace("{", '{"note": 1, "note": 2, ', 1),
+    "unknown field thrice, of any kind": TEXT.replace("{", '{"x": [1, {"y": null}], "x": "\\"}{", "x": -0.0, ', 1),
+    "unknown field twice in an unknown one": TEXT.replace("{", '{"x": {"y": 1, "y": {"z": 1, "z": 2}}, ', 1),
+    "unknown field twice in the amount": TEXT.replace('"currency"', '"x": 1, "x": 2, "currency"'),
+    "unknown field twice, once escaped": TEXT.replace("{", '{"note": 1, "n\\u006fte": 2, ', 1),
+    "unknown field twice, text that spells a known one": TEXT.replace("{", '{"x": "\\"status\\": 1", "x": "status", ', 1),
+    "known names in an unknown field": TEXT.replace("{", '{"x": {"status": 1, "status": 2, "amount": 3}, ', 1),
 }
 REJECTED = {
     "line feed after uuid": (having(payment_id=BASE["payment_id"] + "\n"), "bad_uuid"),
@@ -53,7 +60,28 @@ REJECTED = {
     "next line after": (TEXT + "\u0085", "malformed"),
     "negative zero": (amount("-0"), "malformed"),
     "negative zero, compact": (amount("-0").replace(": ", ":"), "malformed"),
-    "unknown field twice": (TEXT.replace("{", '{"x": 1, "x": 2, ', 1), "malformed"),
+    "known and unknown field twice": (TEXT.replace("{", '{"x": 1, "x": 2, "status": "FAILED", ', 1), "malformed"),
+    "known field twice, once escaped": (TEXT.replace("{", '{"x": 1, "x": 2, "st\\u0061tus": "FAILED", ', 1), "malformed"),
+    "units twice beside an unknown field": (amount('1, "x": 1, "x": 1, "minor_units": 1'), "malformed"),
+    "unknown twice, text after": (TEXT.replace("{", '{"x": 1, "x": 2, ', 1) + " x", "malformed"),
+    "unknown twice, element after": (TEXT.replace("{", '{"x": 1, "x": 2, ', 1) + ",{}", "malformed"),
+    "unknown twice, forged end": (TEXT.replace("{", '{"x": 1, "x": 2, ', 1) + ',{"seal": 42}] {}', "malformed"),
+    "unknown twice, single quotes": (TEXT.replace("{", "{'x': 1, 'x': 2, ", 1), "malformed"),
+    "unknown twice, not a number": (TEXT.replace("{", '{"x": NaN, "x": 2, ', 1), "malformed"),
+    "unknown twice, leading zero": (TEXT.replace("{", '{"x": 01, "x": 2, ', 1), "malformed"),
+    "unknown twice, comment": (TEXT.replace("{", '{"x": 1, "x": 2, /* c */ ', 1), "malformed"),
+    "unknown twice, control character": (TEXT.replace("{", '{"x": "\t", "x": 2, ', 1), "malformed"),
+    "unknown twice, units as decimal": (amount('1.0, "x": 1, "x": 2'), "malformed"),
+    "unknown twice, units with exponent": (amount('1e2, "x": 1, "x": 2'), "malformed"),
+    "unknown twice, units as text": (amount('"1", "x": 1, "x": 2'), "malformed"),
+    "unknown twice, negative zero": (amount('-0, "x": 1, "x": 2'), "malformed"),
+    "unknown twice, amount as text": (having(amount="1").replace("{", '{"x": 1, "x": 2, ', 1), "malformed"),
+    "unknown twice, no account": (without("account").replace("{", '{"x": 1, "x": 2, ', 1), "missing_field"),
+    "unknown twice, null amount": (having(amount=None).replace("{", '{"x": 1, "x": 2, ', 1), "missing_field"),
+    "unknown twice, null units": (amount('null, "x": 1, "x": 2'), "missing_field"),
+    "unknown twice, account as number": (having(account=5).replace("{", '{"x": 1, "x": 2, ', 1), "wrong_type"),
+    "unknown twice, uuid as number": (having(payment_id=5).replace("{", '{"x": 1, "x": 2, ', 1), "bad_uuid"),
+    "unknown twice, unknown status": (having(status="X").replace("{", '{"x": 1, "x": 2, ', 1), "unknown_enum"),
     "leap second": (having(occurred_at="2026-06-30T23:59:60Z"), "bad_timestamp"),
     "offset beyond 18:00": (having(occurred_at="2026-06-30T23:00:00+18:30"), "bad_timestamp"),
     "no value": (None, "tombstone"),
@@ -172,7 +200,7 @@ def test_both_paths_agree(spark):
     names = [*S.PAYMENT_EVENT.fieldNames(), "reject_reason"]
     usual = decode.decode(records).where("reject_reason IS NULL").select("offset", *names)
     parsed = decode.decode(spaced).where("reject_reason IS NULL").select("offset", *names)
-    assert usual.count() == 720
+    assert usual.count() == 740
     assert usual.exceptAll(parsed).count() == 0 and parsed.exceptAll(usual).count() == 0
     reasons = [
         decode.decode(frame).groupBy("reject_reason").count() for frame in (records, spaced)
@@ -193,10 +221,11 @@ def test_encoded_object_is_flat(spark):
 
 
 def test_one_parse_per_record(spark):
-    """The document is parsed in one place of the plan, filters and projections notwithstanding."""
+    """The document is parsed in one place of the plan, filters and projections notwithstanding: as it
+    is and, only if that fails, without other fields."""
     found = decode.accepted(decode.decode(_records(spark, [TEXT.encode()])))
     plan = found.select("account", "status")._jdf.queryExecution()
-    assert plan.optimizedPlan().toString().count("parseJson") == 1
+    assert plan.optimizedPlan().toString().count("parseJson") == 2
 
 
 def mutated(text, draw):

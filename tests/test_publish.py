@@ -255,10 +255,10 @@ def test_a_stream_of_records(spark, topic, tmp_path):
     publisher = BatchPublisher(sink, str(tmp_path / "out"), AT_ONCE)
     published = jobs.run_once(files.stream_records(spark, topic, max_files=1), publisher, str(tmp_path / "c"))
     dead = good.where("amount.minor_units % 7 = 0").count()
-    assert 0 < dead < 720 and published == 720 - dead
+    assert 0 < dead < 740 and published == 740 - dead
     assert len(ledger(spark, tmp_path / "out")) == 4
     totals = jobs.reported(spark, str(tmp_path / "out"))
-    assert totals == {"consumed": 720, "rejected": 260, "published": 720 - dead, "publish_failed": 4 * dead}
+    assert totals == {"consumed": 740, "rejected": 240, "published": 740 - dead, "publish_failed": 4 * dead}
     columns = "payment_id string, status string, risk_score int, amount struct<minor_units: bigint>"
     found = read_committed(spark, sink, columns)
     fine = enrich(good).where("amount.minor_units % 7 <> 0").select("payment_id", "status", "risk_score")

@@ -96,8 +96,8 @@ def test_a_new_checkpoint_on_an_old_folder_publishes_again(spark, topic, tmp_pat
         sink = FolderSink(str(tmp_path / run))
         publisher = BatchPublisher(sink, str(tmp_path / "out"))
         stream = files.stream_records(spark, topic, max_files=1)
-        assert jobs.run_once(stream, publisher, str(tmp_path / f"checkpoint-{run}")) == 720
-        assert read_committed(spark, sink, "payment_id string").count() == 720
+        assert jobs.run_once(stream, publisher, str(tmp_path / f"checkpoint-{run}")) == 740
+        assert read_committed(spark, sink, "payment_id string").count() == 740
         assert jobs.run_once(stream, publisher, str(tmp_path / f"checkpoint-{run}")) == 0
     ledger = read_ledger(spark, str(tmp_path / "out"))
     assert ledger.select("query_id").distinct().count() == 2
@@ -114,9 +114,9 @@ def test_totals_cover_more_batches_than_spark_keeps_progress_for(spark, topic, t
     finally:
         spark.conf.set(kept, before)
     assert jobs.reported(spark, str(tmp_path / "out")) == {
-        "consumed": 720,
-        "rejected": 260,
-        "published": 720,
+        "consumed": 740,
+        "rejected": 240,
+        "published": 740,
         "publish_failed": 0,
     }
 
@@ -129,7 +129,7 @@ def test_quarantine(spark, topic, tmp_path):
     expected = decode.rejected(decode.decode(files.read_records(spark, topic)))
     names = ["topic", "partition", "offset", "value", "reject_reason"]
     assert as_rows(found.select(names)) == as_rows(expected.select(names))
-    assert found.count() == 260
+    assert found.count() == 240
 
 
 def test_failed_query_starts_again_until_stopped(spark, topic, tmp_path):
@@ -154,7 +154,7 @@ def test_failed_query_starts_again_until_stopped(spark, topic, tmp_path):
     stop.set()
     runner.join(timeout=60)
     assert not runner.is_alive()
-    assert len(starts) == 2 and read_committed(spark, sink, "payment_id string").count() == 720
+    assert len(starts) == 2 and read_committed(spark, sink, "payment_id string").count() == 740
 
 
 def test_json_lines_reach_the_decoder(spark, tmp_path):
